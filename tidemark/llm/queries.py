@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontam
+from . import decontam, neardup, packing
 
 
 def queries() -> dict:
-    return {"op4_decontam": decontam.op4_decontam}
+    return {"op3_minhash": neardup.op3_minhash, "op4_decontam": decontam.op4_decontam, "op7_packing": packing.op7_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontam": decontam.SQL}
+    return {"op3_minhash": neardup.SQL, "op4_decontam": decontam.SQL}
