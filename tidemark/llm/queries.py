@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontam, neardup, packing
+from . import decontam, neardup, packing, repeats, suffixes
 
 
 def queries() -> dict:
-    return {"op3_minhash": neardup.op3_minhash, "op4_decontam": decontam.op4_decontam, "op7_packing": packing.op7_packing}
+    return {
+        "op2_suffixes": suffixes.op2_suffixes,
+        "op3_minhash": neardup.op3_minhash,
+        "op4_decontam": decontam.op4_decontam,
+        "op6_repeats": repeats.op6_repeats,
+        "op7_packing": packing.op7_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash": neardup.SQL, "op4_decontam": decontam.SQL}
+    return {"op3_minhash": neardup.SQL, "op4_decontam": decontam.SQL, "op6_repeats": repeats.SQL}
