@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontam, neardup, packing, repeats, suffixes
+from . import decontam, neardup, neighbours, packing, repeats, suffixes, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_suffixes": suffixes.op2_suffixes,
         "op3_minhash": neardup.op3_minhash,
         "op4_decontam": decontam.op4_decontam,
         "op6_repeats": repeats.op6_repeats,
         "op7_packing": packing.op7_packing,
+        "op9_neighbours": neighbours.op9_neighbours,
     }
 
 
