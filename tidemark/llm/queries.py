@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, neardup, neighbours, packing, repeats, suffixes, toxicity
+from . import decontam, language, neardup, neighbours, packing, repeats, suffixes, surrogates, tokencounts, toxicity
 
 
 def queries() -> dict:
@@ -11,9 +11,12 @@ def queries() -> dict:
         "op2_suffixes": suffixes.op2_suffixes,
         "op3_minhash": neardup.op3_minhash,
         "op4_decontam": decontam.op4_decontam,
+        "op5_counts": tokencounts.op5_counts,
         "op6_repeats": repeats.op6_repeats,
         "op7_packing": packing.op7_packing,
+        "op8_language": language.op8_language,
         "op9_neighbours": neighbours.op9_neighbours,
+        "op10_surrogates": surrogates.op10_surrogates,
     }
 
 
