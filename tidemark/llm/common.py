@@ -16,6 +16,8 @@ import tempfile
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: Most (doc_id, hash) pairs that are sent to every executor, 16 bytes each; with more, the documents are shuffled.
+SMALL_IDS = 1_000_000
 #: Bytes of text that array code handles at once; it bounds the memory of a Python worker, not what is read.
 SLICE_BYTES = 2 << 20
 
@@ -54,6 +56,14 @@ def null_safe(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame
     return left.join(r, on, how).drop("_doc_id", "_th")
 
 
+def without(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that have no (doc_id, th) in marked."""
+    gone = cut(marked.select(F.col("doc_id").alias("_d_"), F.col("th").alias("_t_")).distinct())
+    th = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    small = F.broadcast(gone) if gone.count() <= SMALL_IDS else gone
+    return docs.join(small, F.col("doc_id").eqNullSafe(F.col("_d_")) & (th == F.col("_t_")), "left_anti")
+
+
 def slices(sizes: np.ndarray, most: int = SLICE_BYTES) -> list[tuple[int, int]]:
     """Consecutive row ranges of at most `most` bytes; a longer row stands alone, whole."""
     out, begin, total = [], 0, 0

@@ -5,6 +5,12 @@ from __future__ import annotations
 from . import decontam, language, neardup, neighbours, packing, repeats, suffixes, surrogates, tokencounts, toxicity
 
 
+def _pipeline(spark, sf_dir: str):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
@@ -17,6 +23,7 @@ def queries() -> dict:
         "op8_language": language.op8_language,
         "op9_neighbours": neighbours.op9_neighbours,
         "op10_surrogates": surrogates.op10_surrogates,
+        "pipeline": _pipeline,
     }
 
 

@@ -22,7 +22,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import cut, keyed, load
 from .runs import with_lists
@@ -250,19 +250,24 @@ def _replace(key: bytes):
                 texts.append("".join([*out, t[done:]]))
                 spans.append(mine)
             span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string()), ("surrogate", pa.string())]))
-            yield pa.record_batch([b["doc_id"], b["th"], pa.array(texts, pa.string()), pa.array(spans, span)], names=["doc_id", "th", "text", "spans"])
+            yield pa.record_batch([b["doc_id"], b["th"], b["rest"], pa.array(texts, pa.string()), pa.array(spans, span)], names=["doc_id", "th", "rest", "text", "spans"])
 
     return run
 
 
-def replace_private(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
+def replace_private(docs: DataFrame, key: bytes = DEFAULT_KEY, rest: list[str] = ()) -> DataFrame:
     """A row for each row of docs: doc_id, th (of the original text), text with surrogates, spans (start and stop in
-    the original, kind, surrogate)."""
+    the original, kind, surrogate), and rest: a struct of the named other columns."""
     d = keyed(docs)
     mentions = cut(d.mapInArrow(_mentions, "doc_id long, th long, kind string, original string"))
     again = cut(draws(mentions.select("kind", "original").distinct(), key))
     lists = mentions.join(again, ["kind", "original"]).groupBy("doc_id", "th").agg(F.collect_list(F.struct("kind", "original", "draw")).alias("at"))
-    return with_lists(d, cut(lists), 64, "left").mapInArrow(_replace(key), "doc_id long, th long, text string, spans array<struct<start:int,stop:int,kind:string,surrogate:string>>")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    full = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"), F.struct(F.lit(True).alias("_"), *rest).alias("rest"))
+    long, string = T.LongType(), T.StringType()
+    span = T.StructType([T.StructField(n, t) for n, t in (("start", T.IntegerType()), ("stop", T.IntegerType()), ("kind", string), ("surrogate", string))])
+    schema = T.StructType([T.StructField(n, t) for n, t in (("doc_id", long), ("th", long), ("rest", full.schema["rest"].dataType), ("text", string), ("spans", T.ArrayType(span)))])
+    return with_lists(full, cut(lists), 64, "left").mapInArrow(_replace(key), schema)
 
 
 def op10_surrogates(spark, sf_dir: str) -> DataFrame:

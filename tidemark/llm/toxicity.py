@@ -231,6 +231,45 @@ def fit(texts: list[str], toxic: list[int]) -> Machine:
     return Machine(names, nystrom @ w * a, a * b + c)
 
 
+class Scorer:
+    """A machine with the kernel values of the segments it has met."""
+
+    def __init__(self, machine: Machine):
+        self.machine, self.marks = machine, Landmarks(machine.names)
+        self.kept: dict[str, int] = {}  # row of the table; -1: nothing in common with any landmark
+        self.table = np.zeros((0, len(machine.names)), np.float32)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, list[str | None]]:
+        """Score and best segment of each text."""
+        scores, best = np.zeros(len(texts)), [None] * len(texts)
+        none = np.zeros((1, len(self.machine.names)), np.float32)
+        for lo in range(0, len(texts), 500):
+            sets = [segments(t.as_py() or "") for t in texts[lo : lo + 500]]
+            self._learn(set().union(*sets))
+            kept = self.kept
+            top = np.zeros((len(sets), len(self.machine.names)))
+            for i, s in enumerate(sets):
+                found = [(kept[w], w) for w in s if kept.get(w, -1) >= 0]
+                if found and none.shape[1]:
+                    have = self.table[[r for r, _ in found]]
+                    top[i] = have.max(axis=0)
+                    gain = have @ self.machine.weights
+                    best[lo + i] = min(w for (_, w), g in zip(found, gain) if g == gain.max()) if gain.max() > 0 else None
+            scores[lo : lo + len(sets)] = self.machine.score(top)
+        return scores, best
+
+    def _learn(self, words: set[str]) -> None:
+        new = [w for w in words.difference(self.kept) if len(w) >= ORDER]
+        if len(self.kept) + len(new) > KEPT:
+            self.kept.clear()
+            self.table = self.table[:0]
+            new = [w for w in words if len(w) >= ORDER]
+        values = self.marks.values(new)
+        full = values.any(axis=1)
+        self.kept.update(zip(new, np.where(full, len(self.table) + np.cumsum(full) - 1, -1).tolist()))
+        self.table = np.concatenate([self.table, values[full]])
+
+
 def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], list[int]]:
     """Texts and labels of the sample; collected, as it is bounded."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
@@ -255,38 +294,26 @@ def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True))
     machine = fit(*_training(d, labels, learn))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = Landmarks(machine.names)
-        kept: dict[str, int] = {}  # row of `table`; -1: nothing in common with any landmark
-        table = np.zeros((0, len(machine.names)), np.float32)
+        of = Scorer(machine)
         for b in batches:
-            texts = b["text"]
-            scores, best = np.zeros(len(texts)), [None] * len(texts)
-            for lo in range(0, len(texts), 500):
-                sets = [segments(t.as_py()) for t in texts[lo : lo + 500]]
-                new = [w for w in set().union(*sets).difference(kept) if len(w) >= ORDER]
-                if len(kept) + len(new) > KEPT:
-                    kept.clear()
-                    table = table[:0]
-                    new = [w for w in set().union(*sets) if len(w) >= ORDER]
-                values = marks.values(new)
-                full = values.any(axis=1)
-                place = np.where(full, len(table) + np.cumsum(full) - 1, -1)
-                kept.update(zip(new, place.tolist()))
-                table = np.concatenate([table, values[full]])
-                none = np.zeros((1, len(machine.names)), np.float32)
-                for i, s in enumerate(sets):
-                    found = [(kept[w], w) for w in s if kept.get(w, -1) >= 0]
-                    have = table[[r for r, _ in found]] if found else none
-                    top = have.max(axis=0) if have.shape[1] else none[0]
-                    scores[lo + i] = machine.score(top[None].astype(float))[0]
-                    if found and have.shape[1]:
-                        gain = have @ machine.weights
-                        best[lo + i] = min(w for (_, w), g in zip(found, gain) if g == gain.max()) if gain.max() > 0 else None
+            scores, best = of(b["text"])
             yield pa.record_batch([b["doc_id"], b["th"], pa.array(scores), pa.array(best, pa.string())], names=["doc_id", "th", "score", "best"])
 
     return d.mapInArrow(run, "doc_id long, th long, score double, best string")
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, that score under `least`."""
+    machine = fit(*_training(keyed(docs), labels, lambda doc_id: F.lit(True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = Scorer(machine)
+        for b in batches:
+            yield b.filter(pa.array(of(b["text"].cast(pa.string()))[0] < least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learned_from(doc_id):
     """The contract's split: labels are learned where crc32(doc_id as text) mod 5 is not 0."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
