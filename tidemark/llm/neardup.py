@@ -4,8 +4,9 @@
 2. Texts with equal sets are one class, represented by its smallest doc_id, so copies never meet as pairs.
 3. In each band bucket every class is paired with the bucket's smallest one; pairs whose signatures agree well
    enough are confirmed on full sets, and links become components by large-star and small-star steps.
-4. Buckets that still hold several components are compared in blocks of bounded size: only pairs from different
-   components, again by signature and then by full set. The components of all links are the result.
+4. All classes that were paired with one smallest class, its members, may still be in several components. They are
+   compared with each other in blocks of bounded size, first by signature, which leaves few members, then on full
+   sets. No pairs leave a block, only links that join components. The components of all links are the result.
 
 After step 4 each two classes that share a bucket are in one component or were compared, so no link is lost but
 those that banding misses: at the least similarity 0.85, all of 20 bands of 5 miss a pair once in 100,000 times.
@@ -23,14 +24,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, joined, keyed, load, mix64, null_safe, slices, word_bounds, word_hashes
+from .common import SMALL_IDS, cut, joined, keyed, load, mix64, slices, without, word_bounds, word_hashes
 from .components import components
 
 BANDS, ROWS = 20, 5
-#: Classes in a block of a bucket that still holds several components.
-BLOCK = 256
-#: Most ids that are sent to every executor to find their texts, 8 bytes each; with more, the texts are shuffled.
-SMALL_IDS = 1_000_000
+#: Members of a block, about.
+BLOCK = 512
 #: Pairs whose signatures agree this much less than asked are still confirmed on full sets: over four standard errors.
 SLACK = 0.16
 
@@ -109,7 +108,7 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
     small = ids.count() <= SMALL_IDS
     need = docs.withColumnRenamed("doc_id", "id").join(F.broadcast(ids) if small else ids, ["id", "th"], "left_semi")
-    return need.dropDuplicates(["id"]).select("id", "text").mapInArrow(run, "id long, shingles array<long>")
+    return need.select("id", "text").mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, share: int) -> DataFrame:
@@ -134,30 +133,88 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, shar
     return full.where(100 * common >= share * (F.col("nu") + F.col("nv") - common)).select("u", "v")
 
 
-def _crossing(buckets: DataFrame, labels: DataFrame, classes: DataFrame, share: int) -> DataFrame:
-    """u, v: pairs of different components that share a bucket and whose signatures agree well enough."""
-    known = buckets.join(labels.withColumnsRenamed({"u": "id", "v": "c"}), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    mixed = known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi")
-    rows = known.join(mixed.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")), "key").join(classes.select("id", "n", "sig"), "id")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """members (center, id, ...) of each center, dealt so that each two of them meet in one group (center, x, y): by
+    blocks of about BLOCK, of which each two form a group."""
+    sizes = members.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
+    rows = members.join(sizes, "center").withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "c", "n", "sig")
+    return rows.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("other", "nb")
+
+
+def _sides(p: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    return p[p.own == p.x.iloc[0]], p[p.own == p.y.iloc[0]]
+
+
+def _open_members(pairs: DataFrame, labels: DataFrame, classes: DataFrame, share: int) -> DataFrame:
+    """center, id, c, n: members whose signature agrees with that of a member of another component."""
+    some = pairs.select(F.col("u").alias("center"), F.col("v").alias("id")).join(labels.withColumnsRenamed({"u": "id", "v": "c"}), "id", "left")
+    some = some.withColumn("c", F.coalesce("c", "id"))
+    mixed = some.groupBy("center").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("center")
+    rows = _in_blocks(some.join(mixed, "center").join(classes.select("id", "n", "sig"), "id"))
     least = share / 100 - SLACK
 
-    def compare(p: pd.DataFrame) -> pd.DataFrame:
-        left, right = p[p.own == p.x.iloc[0]], p[p.own == p.y.iloc[0]]
+    def find(p: pd.DataFrame) -> pd.DataFrame:
+        left, right = _sides(p)
         sig = [np.frombuffer(b"".join(s.sig), np.uint32).reshape(-1, BANDS * ROWS) for s in (left, right)]
-        ids, comp, size = ([s[c].to_numpy() for s in (left, right)] for c in ("id", "c", "n"))
-        us, vs = [], []
+        hit = [np.zeros(len(s), bool) for s in (left, right)]
+        comp, size = ([s[c].to_numpy() for s in (left, right)] for c in ("c", "n"))
         for i in range(len(left)):
-            ok = (sig[1] == sig[0][i]).mean(axis=1) >= least
-            ok &= (comp[1] != comp[0][i]) & (100 * np.minimum(size[1], size[0][i]) >= share * np.maximum(size[1], size[0][i]))
-            found = ids[1][ok]
-            us.append(np.minimum(found, ids[0][i]))
-            vs.append(np.maximum(found, ids[0][i]))
-        return pd.DataFrame({"u": np.concatenate(us or [np.zeros(0, np.int64)]), "v": np.concatenate(vs or [np.zeros(0, np.int64)])})
+            ok = (comp[1] != comp[0][i]) & (100 * np.minimum(size[1], size[0][i]) >= share * np.maximum(size[1], size[0][i]))
+            at = np.flatnonzero(ok)
+            at = at[(sig[1][at] == sig[0][i]).mean(axis=1) >= least]
+            hit[1][at] = True
+            hit[0][i] |= len(at) > 0
+        return pd.concat([left[hit[0]], right[hit[1]]])[["center", "id", "c", "n"]].drop_duplicates()
+
+    return rows.groupBy("center", "x", "y").applyInPandas(find, "center long, id long, c long, n long").distinct()
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many values each set on the left shares with each on the right. Values of one set alone don't count."""
+    sets = [*left, *right]
+    values, which, count = np.unique(np.concatenate([*sets, np.zeros(0, np.int64)]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    new = np.cumsum(count > 1) - 1
+    keep = count[which] > 1
+    row, col = row[keep], new[which[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for a in range(0, int(new[-1]) + 1 if len(new) else 0, columns):
+        lo, hi = np.searchsorted(col, [a, a + columns])
+        m = np.zeros((len(sets), columns), np.float32)
+        m[row[lo:hi], col[lo:hi] - a] = 1
+        out += m[: len(left)] @ m[len(left) :].T
+    return out
+
+
+def _links_between(members: DataFrame, docs: DataFrame, classes: DataFrame, k: int, share: int) -> DataFrame:
+    """u, v: links, on full sets, that join the components of members which share a center."""
+    ids = members.select("id").distinct().join(classes.select("id", "th"), "id")
+    rows = _in_blocks(members.join(_sets(docs, ids, k), "id"))
+
+    def join(p: pd.DataFrame) -> pd.DataFrame:
+        left, right = _sides(p)
+        common = common_counts(list(left.shingles), list(right.shingles))
+        comp, size, ids = ([s[c].to_numpy() for s in (left, right)] for c in ("c", "n", "id"))
+        near = 100 * common >= share * (size[0][:, None] + size[1][None] - common)
+        root = {int(c): int(c) for s in comp for c in s}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        found = []
+        for i, j in zip(*np.nonzero(near & (comp[0][:, None] != comp[1][None]))):
+            a, b = find(int(comp[0][i])), find(int(comp[1][j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                found.append((int(ids[0][i]), int(ids[1][j])))
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
-    return rows.groupBy("key", "x", "y").applyInPandas(compare, "u long, v long").distinct()
+    return rows.groupBy("center", "x", "y").applyInPandas(join, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
@@ -170,13 +227,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
         "h1", "h2", F.col("s.doc_id").alias("id"), "s.th", "s.n", "s.sig", "s.bands"))
     buckets = classes.select("id", "n", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    buckets = cut(buckets.join(shared.select("key", "least"), "key").select("key", "id", "least"))
-    pairs = buckets.where("id <> least").select(F.col("least").alias("u"), F.col("id").alias("v")).distinct()
+    pairs = buckets.join(shared.select("key", "least"), "key").where("id <> least").select(F.col("least").alias("u"), F.col("id").alias("v"))
+    pairs = cut(pairs.distinct())
     links = cut(_confirm(pairs, classes, d, k, share))
     first = components(links)
-    more = cut(_crossing(buckets.select("key", "id"), first, classes, share))
-    if not more.isEmpty():
-        links = links.unionAll(_confirm(more, classes, d, k, share))
+    members = cut(_open_members(pairs, first, classes, share))
+    if not members.isEmpty():
+        links = links.unionAll(cut(_links_between(members, d, classes, k, share)))
         first = components(links)
     labels = classes.select("h1", "h2", "id").join(first.withColumnsRenamed({"u": "id", "v": "c"}), "id", "left")
     labels = labels.select("h1", "h2", F.coalesce("c", "id").alias("component"))
@@ -189,10 +246,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
 
 def keep_one(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
     """The rows of docs without those that have a near duplicate with a smaller doc_id; all columns stay."""
-    marks = near_duplicates(docs, k, share).where("not kept").select("doc_id", "th").distinct()
-    rows = docs.withColumn("_th_", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    gone = marks.withColumnsRenamed({"doc_id": "_d_", "th": "_t_"})
-    return rows.join(gone, (rows["doc_id"] == gone["_d_"]) & (rows["_th_"] == gone["_t_"]), "left_anti").drop("_th_")
+    return without(docs, near_duplicates(docs, k, share).where("not kept"))
 
 
 def op3_minhash(spark, sf_dir: str) -> DataFrame:
