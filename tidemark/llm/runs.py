@@ -8,12 +8,17 @@ same anchor hash; runs whose whole contexts are equal have all windows in common
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Prefix, checkpoint_dir, null_safe
+from .common import Prefix, checkpoint_dir, mix64, null_safe
 
 #: Windows that array code looks at together; it bounds memory, and at worst parts a run.
 TILE = 1 << 21
@@ -55,16 +60,28 @@ def runs(symbols: np.ndarray, first: np.ndarray, size: int, k: int) -> tuple[np.
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it: smaller than a checkpoint for many rows."""
+    """Write df as a table in the shared folder and read it: smaller than a checkpoint for many rows. What was
+    shuffled for it isn't needed again, so its files may go."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # Spark's cleaner removes shuffle files of plans that are collected
+    out = spark.read.parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a stored table. Nothing that still has to run may read it."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def per_document(spans: DataFrame, fields: list[str]) -> DataFrame:
-    """doc_id, th, at array<struct<fields>>: what each document has; never more than its own windows."""
-    return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct(*fields)).alias("at"))
+    """doc_id, tag, at array<struct<fields>>: what each document has; never more than its own windows."""
+    return spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct(*fields)).alias("at"))
 
 
 def with_lists(docs: DataFrame, lists: DataFrame, width: int, how: str) -> DataFrame:
@@ -75,6 +92,91 @@ def with_lists(docs: DataFrame, lists: DataFrame, width: int, how: str) -> DataF
     return null_safe(docs, F.broadcast(lists) if small else lists, how)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, tag (32 bits of th; with doc_id it tells rows apart), z: the text compressed, for a shuffle. id and th
+    are the row's own; for a null id doc_id is th, so that rows without an id can be joined."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=3, write_checksum=False)
+        for b in batches:
+            z = pa.array([squeeze.compress(t.as_py()) for t in b["text"].cast(pa.binary())], pa.binary())
+            yield pa.record_batch([b["id"], b["th"], z], names=["id", "th", "z"])
+
+    z = docs.select(F.col("doc_id").alias("id"), "th", "text").mapInArrow(run, "id long, th long, z binary")
+    return z.select(F.coalesce("id", "th").alias("doc_id"), F.shiftright("th", 32).cast("int").alias("tag"), "id", "th", "z")
+
+
+def unpacked(b: pa.RecordBatch) -> list[bytes]:
+    import zstandard
+
+    widen = zstandard.ZstdDecompressor()
+    return [widen.decompress(z.as_py()) for z in b["z"]]
+
+
+def repeated_anchors(docs: DataFrame, anchors: Callable[[pa.Array], Iterator[np.ndarray]], bits: int) -> list[np.ndarray]:
+    """A merged count-min sketch of the anchors' hashes that `anchors` finds in texts, as a bit for each counter: set
+    where the count is 2 or more. Each partition sends its counters by block; blocks are added up on executors in two
+    steps; the driver gets ROWS * 2**bits bits."""
+    salts = -(-docs.rdd.getNumPartitions() // 256)  # so many partitions' counters are added up at once
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[list[np.ndarray]] = [[] for _ in range(ROWS)]
+        for b in batches:
+            for h in anchors(b["text"].cast(pa.binary())):
+                for r, c in enumerate(counters(h, bits)):
+                    seen[r].append(c)
+        salt = TaskContext.get().partitionId() % salts
+        for r in range(ROWS):
+            c = np.sort(np.concatenate(seen[r])) if seen[r] else np.zeros(0, np.int64)
+            edges = np.searchsorted(c, np.arange(0, (1 << bits) + 1, COUNTERS))
+            full = np.flatnonzero(np.diff(edges))
+            yield pa.record_batch([pa.array(np.full(len(full), r, np.int32)), pa.array(full.astype(np.int32)), pa.array(np.full(len(full), salt, np.int32)),
+                                   pa.array([(c[edges[i] : edges[i + 1]] & (COUNTERS - 1)).astype(np.uint16).tobytes() for i in full.tolist()], pa.binary())],
+                                  names=["r", "block", "salt", "counts"])
+
+    def add(p: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(COUNTERS, np.int64)
+        for x in p["counts"]:
+            total += np.bincount(np.frombuffer(x, np.uint16), minlength=COUNTERS)
+        return p[["r", "block"]].head(1).assign(counts=np.minimum(total, 2).astype(np.uint8).tobytes() if salts > 1 else np.packbits(total > 1).tobytes())
+
+    def merge(p: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.uint8).astype(np.int64) for x in p["counts"])
+        return p[["r", "block"]].head(1).assign(counts=np.packbits(total > 1).tobytes())
+
+    parts = docs.select("text").mapInArrow(count, "r int, block int, salt int, counts binary")
+    sums = parts.groupBy("r", "block", "salt").applyInPandas(add, "r int, block int, counts binary")
+    if salts > 1:
+        sums = sums.groupBy("r", "block").applyInPandas(merge, "r int, block int, counts binary")
+    out = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(ROWS)]
+    for row in sums.toLocalIterator():
+        out[row["r"]][row["block"] * COUNTERS // 8 : (row["block"] + 1) * COUNTERS // 8] = np.frombuffer(row["counts"], np.uint8)
+    return out
+
+
+#: Rows of the sketch, counters in one of its blocks, and the most bits of a row: 2 rows of 2**27 bits are 32 MB.
+#: A larger corpus lets more through to the exact grouping.
+ROWS, COUNTERS, MOST_BITS = 2, 1 << 16, 27
+
+
+def counters(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [(mix64(h, 20 + r) >> np.uint64(64 - bits)).astype(np.int64) for r in range(ROWS)]
+
+
+def bits_for(anchors: int) -> int:
+    """About four counters for an anchor, within the bounds."""
+    return min(MOST_BITS, max(COUNTERS.bit_length() - 1, (4 * anchors).bit_length()))
+
+
+def seen_again(h: np.ndarray, sketch: list[np.ndarray], bits: int) -> np.ndarray:
+    """Which anchors are estimated to occur twice or more; no such anchor is missed."""
+    often = np.ones(len(h), bool)
+    for bit, c in zip(sketch, counters(h, bits)):
+        often &= (bit[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1 == 1
+    return often
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping and touching (start, stop) spans as maximal ones, in order."""
     out: list[tuple[int, int]] = []

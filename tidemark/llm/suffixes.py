@@ -1,10 +1,11 @@
 """Removal of long repeated byte strings by sorting suffixes, deep-shallow.
 
 A sparse suffix array does: only the suffixes that begin at anchors (see runs.py) are sorted, since every window
-of `size` bytes holds its anchor. Runs with equal contexts count as one context with a number of occurrences. The
-contexts of an anchor are sorted by the suffixes that begin at it and, backwards, by what stands before it:
-multikey quicksort to a shallow depth, then blind tries order the groups with long common prefixes. Their common
-prefixes give, for each context, the windows that stand in another one too.
+of `size` bytes holds its anchor, and of those only the ones that a merged count-min sketch doesn't rule out. Runs with
+equal contexts count as one context with a number of occurrences. The contexts of an anchor are sorted by the
+suffixes that begin at it and, backwards, by what stands before it: multikey quicksort to a shallow depth, then
+blind tries order the groups with long common prefixes. Their common prefixes give, for each context, the windows
+that stand in another one too.
 
 Nulls and texts shorter than `size` bytes have no windows and stay whole. A repeated row is one more occurrence.
 """
@@ -18,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_symbols, cut, joined, keyed, load, slices
-from .runs import merged, per_document, runs, stored, with_lists
+from .common import byte_symbols, joined, keyed, load, slices
+from .runs import bits_for, discard, merged, packed, per_document, repeated_anchors, runs, seen_again, stored, unpacked
 
 #: Bytes of an anchor; bytes that multikey quicksort compares before blind tries take over.
 ANCHOR, SHALLOW = 40, 16
@@ -138,25 +139,31 @@ def shared_windows(contexts: list[tuple[bytes, int]], size: int) -> list[list[tu
     return found
 
 
-def _runs_of(size: int):
+def _each_runs(texts: pa.Array, size: int) -> Iterator[tuple]:
+    """Of slices of the texts: the first one's number, their bytes, where each begins, and their runs."""
+    symbol = byte_symbols()
+    for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
+        data, ends = joined([t.as_py() for t in texts[lo:hi]], b"")
+        first = np.concatenate([[0], ends])
+        yield lo, data, first, runs(symbol[data], first, size, ANCHOR)
+
+
+def _runs_of(size: int, sketch, bits: int):
+    """Runs whose anchor is estimated to occur again: doc_id, tag, place (first window, windows and the anchor's
+    place in one number), anchor hash, context hash (of 96 bits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        symbol = byte_symbols()
         for b in batches:
-            texts = b["text"].cast(pa.binary())
-            ids, ths = b["doc_id"], b["th"]
-            for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
-                data, ends = joined([t.as_py() for t in texts[lo:hi]], b"")
-                first = np.concatenate([[0], ends])
-                row, at, n, off, h = runs(symbol[data], first, size, ANCHOR)
+            for lo, data, first, found in _each_runs(b["text"].cast(pa.binary()), size):
+                often = seen_again(found[4], sketch.value, bits)
+                row, at, n, off, h = (x[often] for x in found)
                 view = memoryview(data)
                 dig = [xxhash.xxh3_128_digest(view[x:y], s) for x, y, s in zip(at.tolist(), (at + n + size - 1).tolist(), off.tolist())]
                 c = np.frombuffer(b"".join(dig), "<i8").reshape(-1, 2)
                 take = pa.array(row + lo)
-                yield pa.record_batch([ids.take(take), ths.take(take), pa.array((at - first[row]).astype(np.int32)), pa.array(n.astype(np.int32)),
-                                       pa.array(off.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(c[:, 0]), pa.array(c[:, 1])],
-                                      names=["doc_id", "th", "lo", "n", "off", "h", "c1", "c2"])
+                yield pa.record_batch([b["doc_id"].take(take), b["tag"].take(take), pa.array((at - first[row] << 32) + (n << 16) + off),
+                                       pa.array(h.view(np.int64)), pa.array(c[:, 0]), pa.array(c[:, 1].astype(np.int32))], names=["doc_id", "tag", "place", "h", "c1", "c2"])
 
     return run
 
@@ -166,10 +173,11 @@ def _contexts(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
-            for text, at in zip(b["text"].cast(pa.binary()), b["at"]):
-                t = text.as_py()
-                rows += [(r["h"], r["c1"], r["c2"], r["off"], t[r["lo"] : r["lo"] + r["n"] + size - 1], r["many"]) for r in at.as_py()]
-            yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()))],
+            for t, at in zip(unpacked(b), b["at"]):
+                for r in at.as_py():
+                    lo, n, off = r["place"] >> 32, (r["place"] >> 16) & 0xFFFF, r["place"] & 0xFFFF
+                    rows.append((r["h"], r["c1"], r["c2"], off, t[lo : lo + n + size - 1], r["many"]))
+            yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()))],
                                   names=["h", "c1", "c2", "off", "text", "many"])
 
     return run
@@ -185,7 +193,7 @@ def _sorted_groups(size: int):
         group, at, rows = [], None, []
 
         def batch() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["c1", "c2", "j0", "j1"])
+            return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["c1", "c2", "j0", "j1"])
 
         for b in batches:
             for h, *rest in zip(*(b[c].to_pylist() for c in ("h", "c1", "c2", "off", "text"))):
@@ -209,56 +217,63 @@ def _each_window(size: int):
             for c1, c2, text in zip(*(b[c].to_pylist() for c in ("c1", "c2", "text"))):
                 n = len(text) - size + 1
                 dig = np.frombuffer(b"".join(xxhash.xxh3_128_digest(text[j : j + size]) for j in range(n)), "<i8").reshape(-1, 2)
-                yield pa.record_batch([pa.array(dig[:, 0]), pa.array(dig[:, 1]), pa.array(np.full(n, c1)), pa.array(np.full(n, c2)), pa.array(np.arange(n, dtype=np.int32))], names=["w1", "w2", "c1", "c2", "j"])
+                yield pa.record_batch([pa.array(dig[:, 0]), pa.array(dig[:, 1]), pa.array(np.full(n, c1)), pa.array(np.full(n, c2, np.int32)), pa.array(np.arange(n, dtype=np.int32))], names=["w1", "w2", "c1", "c2", "j"])
 
     return run
 
 
-def _repeated(spread: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+def _repeated(spread: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """c1, c2, j0, j1: the windows j0 to j1 of the runs with that context stand somewhere else too."""
-    kinds = stored(spread.groupBy("h", "c1", "c2").agg(F.count(F.lit(1)).alias("count"), F.min(F.struct("doc_id", "th", "lo", "n", "off")).alias("r")))
+    kinds = stored(spread.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("count"), F.min(F.struct("doc_id", "tag", "place", "h")).alias("r")).select("c1", "c2", "count", "r.*"))
     anchors = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    whole = kinds.where("count > 1").select("c1", "c2", F.lit(0).alias("j0"), (F.col("r.n") - 1).alias("j1"))
-    mixed = kinds.join(anchors, "h").select("h", "c1", "c2", (F.col("m") > GROUP).alias("many"), "r.*")
-    lists = cut(per_document(mixed, ["h", "c1", "c2", "lo", "n", "off", "many"]))
-    texts = with_lists(docs, lists, 48, "inner").select("text", "at").mapInArrow(_contexts(size), "h long, c1 long, c2 long, off int, text binary, many boolean")
-    texts = stored(texts)
-    some = texts.where("not many").select("h", "c1", "c2", "off", "text").repartition("h").sortWithinPartitions("h")
-    part = some.mapInArrow(_sorted_groups(size), "c1 long, c2 long, j0 int, j1 int")
-    windows = texts.where("many").select("c1", "c2", "text").mapInArrow(_each_window(size), "w1 long, w2 long, c1 long, c2 long, j int")
+    whole = kinds.where("count > 1").select("c1", "c2", F.lit(0).alias("j0"), (F.shiftright("place", 16).bitwiseAND(0xFFFF) - 1).cast("int").alias("j1"))
+    mixed = kinds.join(anchors, "h").select("h", "c1", "c2", (F.col("m") > GROUP).alias("many"), "doc_id", "tag", "place")
+    lists = per_document(mixed, ["h", "c1", "c2", "place", "many"])
+    found = stored(texts.join(lists, ["doc_id", "tag"]).select("z", "at").mapInArrow(_contexts(size), "h long, c1 long, c2 int, off int, text binary, many boolean"))
+    some = found.where("not many").select("h", "c1", "c2", "off", "text").repartition("h").sortWithinPartitions("h")
+    part = some.mapInArrow(_sorted_groups(size), "c1 long, c2 int, j0 int, j1 int")
+    windows = found.where("many").select("c1", "c2", "text").mapInArrow(_each_window(size), "w1 long, w2 long, c1 long, c2 int, j int")
     twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("w1", "w2")
     each = windows.join(twice, ["w1", "w2"]).select("c1", "c2", F.col("j").alias("j0"), F.col("j").alias("j1"))
-    return whole.unionAll(part).unionAll(each)
+    out = stored(whole.unionAll(part).unionAll(each))
+    discard(found)
+    discard(kinds)
+    return out
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows: list[tuple] = []
-        for text, at in zip(b["text"].cast(pa.binary()), b["at"]):
-            t, spans, kept, done = text.as_py(), merged([(s["start"], s["stop"]) for s in at.as_py() or []]), [], 0
+        for t, at in zip(unpacked(b), b["at"]):
+            spans, kept, done = merged([(s["start"], s["stop"]) for s in at.as_py() or []]), [], 0
             for x, y in spans:
                 kept.append(t[done:x])
                 done = y
             kept.append(t[done:])
             rows.append((len(t), sum(y - x for x, y in spans), [{"start": x, "stop": y} for x, y in spans], b"".join(kept)))
         span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        yield pa.record_batch([b["doc_id"], b["th"], *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), span, pa.binary())))],
-                              names=["doc_id", "th", "n_bytes", "n_removed", "spans", "kept"])
+        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), span, pa.binary()))]
+        yield pa.record_batch([b["id"], b["th"], *cols], names=["doc_id", "th", "n_bytes", "n_removed", "spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
     """A row for each row of docs: doc_id, th, n_bytes, n_removed, spans (maximal removed start and stop), kept
     binary: without the bytes covered by a `size`-byte string that also starts anywhere else.
     `size` must be over the length of an anchor."""
-    if size <= ANCHOR:
-        raise ValueError(f"size must be over {ANCHOR}")
+    if not ANCHOR < size < 1 << 15:
+        raise ValueError(f"size must be over {ANCHOR} and under {1 << 15}")
     d = keyed(docs)
-    spread = stored(d.mapInArrow(_runs_of(size), "doc_id long, th long, lo int, n int, off int, h long, c1 long, c2 long"))
-    repeated = stored(_repeated(spread, d, size))
-    spans = spread.select("doc_id", "th", "lo", "c1", "c2").join(repeated, ["c1", "c2"]).select(
-        "doc_id", "th", (F.col("lo") + F.col("j0")).alias("start"), (F.col("lo") + F.col("j1") + size).alias("stop"))
-    lists = cut(per_document(spans, ["start", "stop"]))
-    return with_lists(d, lists, 24, "left").mapInArrow(
+    length = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = bits_for(2 * length // (size - ANCHOR + 2))
+    sketch = repeated_anchors(d, lambda texts: (found[4] for *_, found in _each_runs(texts, size)), bits)
+    find = _runs_of(size, d.sparkSession.sparkContext.broadcast(sketch), bits)
+    rows = d.select(F.coalesce("doc_id", "th").alias("doc_id"), F.shiftright("th", 32).cast("int").alias("tag"), "text")
+    spread = stored(rows.mapInArrow(find, "doc_id long, tag int, place long, h long, c1 long, c2 int"))
+    texts = packed(d)
+    repeated = _repeated(spread, texts, size)
+    spans = spread.select("doc_id", "tag", F.shiftright("place", 32).alias("lo"), "c1", "c2").join(repeated, ["c1", "c2"]).select(
+        "doc_id", "tag", (F.col("lo") + F.col("j0")).cast("int").alias("start"), (F.col("lo") + F.col("j1") + size).cast("int").alias("stop"))
+    return texts.join(per_document(spans, ["start", "stop"]), ["doc_id", "tag"], "left").mapInArrow(
         _strip, "doc_id long, th long, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary")
 
 
