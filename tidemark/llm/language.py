@@ -63,7 +63,7 @@ def train(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarray]:
 
 def text_evidence(model: np.ndarray, text: str) -> np.ndarray:
     """Tempered log likelihood of the text in each language, the largest 0."""
-    if not text.strip():
+    if not len(model) or not text.strip():
         return np.zeros(len(model))
     p = pieces(text)
     total = model @ np.bincount(p, minlength=BUCKETS)

@@ -183,11 +183,17 @@ class LocalSearch:
                 return True
         return False
 
-    def run(self, steps_each: int = 12) -> list[list[int]]:
-        for a in sorted(self.open, key=lambda b: self.fill[b]):
-            for _ in range(steps_each * max(1, len(self.bins[a]))):
-                if not self.bins[a] or self.fill[a] == self.most or not self._step(a):
-                    break
+    def run(self, rounds: int = 8) -> list[list[int]]:
+        """Rounds over the underfull bins, emptiest first, until one changes nothing."""
+        for _ in range(rounds):
+            changed = False
+            for a in sorted((b for b in self.open if self.bins[b] and self.fill[b] < self.most), key=lambda b: self.fill[b]):
+                for _ in range(12 * len(self.bins[a])):
+                    if not self.bins[a] or self.fill[a] == self.most or not self._step(a):
+                        break
+                    changed = True
+            if not changed:
+                break
         return [b for b in self.bins if b]
 
 
