@@ -21,13 +21,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Prefix, cut, joined, keyed, load, mix64, slices, word_bounds, word_hashes
-from .runs import merged, per_document, runs, stored, with_lists
+from .common import Prefix, joined, keyed, load, mix64, slices, word_bounds, word_hashes
+from .runs import bits_for, discard, merged, packed, per_document, repeated_anchors, runs, seen_again, stored, unpacked
 
 ANCHOR = 6
-#: Rows of the sketch, counters in one of its blocks, and the most bits of a row that are sent to executors:
-#: 2 rows of 2**27 bits are 32 MB. A larger corpus lets more windows through to the exact grouping.
-ROWS, BLOCK, MOST_BITS = 2, 1 << 16, 27
 
 
 def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -37,81 +34,41 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word_hashes(data, start, stop, 0), word_hashes(data, start, stop, 1), first
 
 
-def _counters(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [(mix64(h, 20 + r) >> np.uint64(64 - bits)).astype(np.int64) for r in range(ROWS)]
+def _each_runs(texts: pa.Array, size: int) -> Iterator[tuple]:
+    """Of slices of the texts: the first one's number, two hashes of each word, the words before each text, runs."""
+    for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
+        w0, w1, first = _words([t.as_py() for t in texts[lo:hi]])
+        yield lo, w0, w1, first, runs(w0, first, size, ANCHOR)
 
 
-def sketch(docs: DataFrame, size: int, bits: int) -> list[np.ndarray]:
-    """The merged sketch, as a bit for each counter: set where the count is 2 or more."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[list[np.ndarray]] = [[] for _ in range(ROWS)]
-        for b in batches:
-            texts = b["text"].cast(pa.binary())
-            for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
-                w, _, first = _words([t.as_py() for t in texts[lo:hi]])
-                h = runs(w, first, size, ANCHOR)[4]
-                for r, c in enumerate(_counters(h, bits)):
-                    seen[r].append(c)
-        salt = int(seen[0][0][0] % 64) if seen[0] and len(seen[0][0]) else 0
-        for r in range(ROWS):
-            c = np.sort(np.concatenate(seen[r])) if seen[r] else np.zeros(0, np.int64)
-            edges = np.searchsorted(c, np.arange(0, (1 << bits) + 1, BLOCK))
-            full = np.flatnonzero(np.diff(edges))
-            yield pa.record_batch([pa.array(np.full(len(full), r, np.int32)), pa.array(full.astype(np.int32)), pa.array(np.full(len(full), salt, np.int32)),
-                                   pa.array([(c[edges[i] : edges[i + 1]] & (BLOCK - 1)).astype(np.uint16).tobytes() for i in full.tolist()], pa.binary())],
-                                  names=["r", "block", "salt", "counts"])
-
-    def add(p: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(BLOCK, np.int64)
-        for x in p["counts"]:
-            total += np.bincount(np.frombuffer(x, np.uint16), minlength=BLOCK)
-        return p[["r", "block"]].head(1).assign(counts=np.minimum(total, 2).astype(np.uint8).tobytes())
-
-    def merge(p: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.uint8).astype(np.int64) for x in p["counts"])
-        return p[["r", "block"]].head(1).assign(counts=np.packbits(total > 1).tobytes())
-
-    parts = docs.select("text").mapInArrow(count, "r int, block int, salt int, counts binary")
-    once = parts.groupBy("r", "block", "salt").applyInPandas(add, "r int, block int, counts binary")
-    out = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(ROWS)]
-    for row in once.groupBy("r", "block").applyInPandas(merge, "r int, block int, counts binary").toLocalIterator():  # at most ROWS * 2**MOST_BITS bits
-        out[row["r"]][row["block"] * BLOCK // 8 : (row["block"] + 1) * BLOCK // 8] = np.frombuffer(row["counts"], np.uint8)
-    return out
-
-
-def _candidates(docs: DataFrame, size: int, bits: int, merged_sketch: list[np.ndarray]) -> DataFrame:
-    """Runs whose windows are estimated to be repeated."""
-    sent = docs.sparkSession.sparkContext.broadcast(merged_sketch)
-
+def _candidates(size: int, sketch, bits: int):
+    """Runs whose windows are estimated to be repeated: doc_id, tag, place (first window and number of windows in one
+    number), anchor hash, context hash (of 96 bits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value
         for b in batches:
-            texts = b["text"].cast(pa.binary())
-            for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
-                w0, w1, first = _words([t.as_py() for t in texts[lo:hi]])
-                row, at, n, off, h = runs(w0, first, size, ANCHOR)
-                often = np.ones(len(h), bool)
-                for bit, c in zip(table, _counters(h, bits)):
-                    often &= (bit[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1 == 1
-                row, at, n, off, h = row[often], at[often], n[often], off[often], h[often]
+            for lo, w0, w1, first, found in _each_runs(b["text"].cast(pa.binary()), size):
+                often = seen_again(found[4], sketch.value, bits)
+                row, at, n, off, h = (x[often] for x in found)
                 c = [mix64(Prefix(w, i).of(at, at + n + size - 1) + off.astype(np.uint64)).view(np.int64) for i, w in enumerate((w0, w1))]
                 take = pa.array(row + lo)
-                yield pa.record_batch([b["doc_id"].take(take), b["th"].take(take), pa.array((at - first[row]).astype(np.int32)), pa.array(n.astype(np.int32)),
-                                       pa.array(h.view(np.int64)), pa.array(c[0]), pa.array(c[1])], names=["doc_id", "th", "lo", "n", "h", "c1", "c2"])
+                yield pa.record_batch([b["doc_id"].take(take), b["tag"].take(take), pa.array((at - first[row] << 16) + n), pa.array(h.view(np.int64)),
+                                       pa.array(c[0]), pa.array(c[1].astype(np.int32))], names=["doc_id", "tag", "place", "h", "c1", "c2"])
 
-    return docs.where("doc_id is not null").mapInArrow(run, "doc_id long, th long, lo int, n int, h long, c1 long, c2 long")
+    return run
 
 
 def _windows(size: int):
     """Of documents with lists of runs: each window's hashes, its context and its place in the run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b["text"].cast(pa.binary())
-            for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
-                w0, w1, first = _words([t.as_py() for t in texts[lo:hi]])
+            texts = unpacked(b)
+            for lo, hi in slices(np.array([len(t) for t in texts])):
+                w0, w1, first = _words(texts[lo:hi])
                 lists = b["at"][lo:hi]
                 flat, row = lists.flatten(), np.repeat(np.arange(hi - lo), lists.value_lengths().to_numpy(zero_copy_only=False))
-                c1, c2, at, n, least = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+                c1, c2, place = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+                least = b["doc_id"][lo:hi].to_numpy(zero_copy_only=False)[row]
+                at, n = place >> 16, place & 0xFFFF
                 each = np.repeat(np.arange(len(at)), n)
                 j = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
                 p = first[row[each]] + at[each] + j
@@ -124,40 +81,44 @@ def _windows(size: int):
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows: list[tuple] = []
-        for text, at in zip(b["text"].cast(pa.binary()), b["at"]):
-            words = text.as_py().split()
+        for t, at in zip(unpacked(b), b["at"]):
+            words = t.split()
             spans = merged([(s["start"], s["stop"]) for s in at.as_py() or []])
             n = len(words)
             for x, y in reversed(spans):
                 del words[x:y]
             rows.append((n, n - len(words), [{"start": x, "stop": y} for x, y in spans], b" ".join(words)))
         span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        yield pa.record_batch([b["doc_id"], b["th"], *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), span, pa.binary())))],
-                              names=["doc_id", "th", "n_words", "n_removed", "spans", "kept"])
+        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), span, pa.binary()))]
+        yield pa.record_batch([b["id"], b["th"], *cols], names=["doc_id", "th", "n_words", "n_removed", "spans", "kept"])
 
 
 def remove_later_windows(docs: DataFrame, size: int = 13) -> DataFrame:
     """A row for each row of docs: doc_id, th, n_words, n_removed, spans (removed words as start and stop), kept
     binary: the kept words joined by a space. `size` must be over the words of an anchor."""
-    if size <= ANCHOR:
-        raise ValueError(f"size must be over {ANCHOR}")
+    if not ANCHOR < size < 1 << 15:
+        raise ValueError(f"size must be over {ANCHOR} and under {1 << 15}")
     d = keyed(docs)
     length = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(MOST_BITS, max(BLOCK.bit_length() - 1, (length // 12).bit_length()))  # about two counters for an anchor
-    found = stored(_candidates(d, size, bits, sketch(d, size, bits)))
-    kinds = stored(found.groupBy("h", "c1", "c2").agg(F.min(F.struct("doc_id", "th", "lo", "n")).alias("r"), F.max("doc_id").alias("last")))
+    bits = bits_for(length // 24)
+    sketch = repeated_anchors(d, lambda texts: (found[4] for *_, found in _each_runs(texts, size)), bits)
+    find = _candidates(size, d.sparkSession.sparkContext.broadcast(sketch), bits)
+    known = d.where("doc_id is not null").select("doc_id", F.shiftright("th", 32).cast("int").alias("tag"), "text")
+    found = stored(known.mapInArrow(find, "doc_id long, tag int, place long, h long, c1 long, c2 int"))
+    kinds = stored(found.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "tag", "place", "h")).alias("r"), F.max("doc_id").alias("last")).select("c1", "c2", "r.*", "last"))
     anchors = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h")
-    mixed = kinds.join(anchors, "h").select("r.doc_id", "r.th", "c1", "c2", "r.lo", "r.n", F.col("r.doc_id").alias("least"))
-    lists = cut(per_document(mixed, ["c1", "c2", "lo", "n", "least"]))
-    windows = stored(with_lists(d, lists, 36, "inner").dropDuplicates(["doc_id", "th"]).select("text", "at").mapInArrow(
-        _windows(size), "w1 long, w2 long, c1 long, c2 long, j int, least long"))
-    earlier = windows.groupBy("w1", "w2").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    each = windows.select("w1", "w2", "c1", "c2", "j").join(earlier, ["w1", "w2"]).select("c1", "c2", F.col("j").alias("j0"), F.col("j").alias("j1"), "least")
-    whole = kinds.where("last > r.doc_id").select("c1", "c2", F.lit(0).alias("j0"), (F.col("r.n") - 1).alias("j1"), F.col("r.doc_id").alias("least"))
-    spans = found.select("doc_id", "th", "lo", "c1", "c2").join(whole.unionAll(each), ["c1", "c2"]).where("least < doc_id").select(
-        "doc_id", "th", (F.col("lo") + F.col("j0")).alias("start"), (F.col("lo") + F.col("j1") + size).alias("stop"))
-    out = cut(per_document(spans, ["start", "stop"]))
-    return with_lists(d, out, 24, "left").mapInArrow(
+    mixed = kinds.join(anchors, "h").select("doc_id", "tag", "c1", "c2", "place")
+    texts = packed(d)
+    windows = stored(texts.join(per_document(mixed, ["c1", "c2", "place"]), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select("doc_id", "z", "at").mapInArrow(
+        _windows(size), "w1 long, w2 long, c1 long, c2 int, j int, least long"))
+    earlier = windows.groupBy("w1", "w2").agg(F.min("least").alias("first"), F.max("least").alias("end")).where("first < end").select("w1", "w2", "first")
+    # a window that an earlier document has in another context; those of the context's own documents come with `whole`
+    each = stored(windows.join(earlier, ["w1", "w2"]).where("first < least").select("c1", "c2", F.col("j").alias("j0"), F.col("j").alias("j1"), F.col("first").alias("least")))
+    discard(windows)
+    whole = kinds.where("last > doc_id").select("c1", "c2", F.lit(0).alias("j0"), (F.col("place").bitwiseAND(0xFFFF) - 1).cast("int").alias("j1"), F.col("doc_id").alias("least"))
+    spans = found.select("doc_id", "tag", F.shiftright("place", 16).alias("lo"), "c1", "c2").join(whole.unionAll(each), ["c1", "c2"]).where("least < doc_id").select(
+        "doc_id", "tag", (F.col("lo") + F.col("j0")).cast("int").alias("start"), (F.col("lo") + F.col("j1") + size).cast("int").alias("stop"))
+    return texts.join(per_document(spans, ["start", "stop"]), ["doc_id", "tag"], "left").mapInArrow(
         _strip, "doc_id long, th long, n_words long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary")
 
 
