@@ -20,26 +20,27 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import keyed, load
+from .common import keyed, load, slices
 
 #: Labelled rows of each label that are used at most, and the characters of the longest of them.
-TRAIN_EACH, TRAIN_CHARS = 1500, 20_000
+TRAIN_EACH, TRAIN_CHARS = 1500, 50_000
 ORDER, DECAY = 4, 0.7
 #: Least share of a landmark's own value that counts.
 FLOOR = 0.04
 #: Landmarks that mark toxic texts, and ordinary ones.
 MARKS, PLAIN = 32, 4
 #: Toxic texts are the rarer ones, and a clean text lost costs more than a toxic one kept.
-CLEAN = 6.0
+CLEAN = 12.0
 #: Characters of a segment; longer words are cut into pieces that overlap by half.
 SEGMENT = 40
 #: Different segments whose kernel values a Python worker keeps.
-KEPT = 300_000
+KEPT = 600_000
 
 _SPELLED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 
@@ -89,6 +90,21 @@ def kernel(codes: np.ndarray, landmark: str, order: int = ORDER, decay: float =
     return sum((same[i][j] * (1 if before is None else before[i, j]) for i, j in ends), np.zeros(n, np.float32))
 
 
+def _pairs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A set of each row's ordered pairs of characters, folded to 128 bits, as two numbers."""
+    at = np.ascontiguousarray(codes.T).astype(np.uint64)
+    bits = [np.zeros(codes.shape[0], np.uint64) for _ in range(2)]
+    for i in range(len(at)):
+        first = at[i] * np.uint64(0x9E3779B1)
+        for j in range(i + 1, len(at)):
+            k = (first + at[j] * np.uint64(0x85EBCA77)) >> np.uint64(9)
+            bit = np.where((at[i] == 0) | (at[j] == 0), np.uint64(0), np.uint64(1) << (k & np.uint64(63)))
+            high = (k & np.uint64(64)) != 0
+            bits[0] |= np.where(high, np.uint64(0), bit)
+            bits[1] |= np.where(high, bit, np.uint64(0))
+    return bits[0], bits[1]
+
+
 class Landmarks:
     """Squared kernel values of strings with the landmarks, as shares of the landmark's own; tiny ones are none."""
 
@@ -96,31 +112,34 @@ class Landmarks:
         self.names = names
         self.own = [float(kernel(_codes([s], len(s)), s)[0]) for s in names]
         self.bits = [_bits(_codes([s], len(s)))[0] for s in names]
-        # the fewest different characters that any common subsequence can have
-        self.least = [min(len(set(s[i] for i in pick)) for pick in _picks(len(s))) for s in names]
+        # a common subsequence has so many different characters at least, and all its ordered pairs
+        self.least, self.masks = [], []
+        for s in names:
+            grams = {"".join(s[i] for i in pick) for pick in combinations(range(len(s)), ORDER)}
+            self.least.append(min((int(np.bitwise_count(_bits(_codes([g], ORDER)))[0]) for g in grams), default=0))
+            self.masks.append([tuple(x[0] for x in _pairs(_codes([g], ORDER))) for g in sorted(grams)])
 
     def values(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.names)), np.float32)
         size = np.array([len(w) for w in words])
         for lo, hi in ((ORDER, 6), (7, 8), (9, 10), (11, 12), (13, 16), (17, 24), (25, SEGMENT)):
             some = np.flatnonzero((size >= lo) & (size <= hi))
-            for part in (some[i : i + 2048] for i in range(0, len(some), 2048)):
+            for part in (some[i : i + 16384] for i in range(0, len(some), 16384)):
                 codes = _codes([words[i] for i in part.tolist()], hi)
-                bits = _bits(codes)
+                bits, (low, high) = _bits(codes), _pairs(codes)
                 for k, s in enumerate(self.names):
-                    may = np.flatnonzero(np.bitwise_count(bits & self.bits[k]) >= min(self.least[k], int(np.bitwise_count(self.bits[k]))))
+                    may = np.flatnonzero(np.bitwise_count(bits & self.bits[k]) >= self.least[k])
+                    a, b = low[may], high[may]
+                    fits = np.zeros(len(may), bool)
+                    for x, y in self.masks[k]:
+                        fits |= ((a & x) == x) & ((b & y) == y)
+                    may = may[fits]
                     if len(may):
                         share = kernel(codes[may], s) / self.own[k]
                         out[part[may], k] = np.where(share * share >= FLOOR, share * share, 0)
         return out
 
 
-def _picks(n: int) -> list[tuple[int, ...]]:
-    from itertools import combinations
-
-    return list(combinations(range(n), ORDER))
-
-
 def choose(sets: list[set[str]], toxic: np.ndarray) -> tuple[list[str], list[str]]:
     """Marks and ordinary landmarks from training texts given as sets of segments. A mark is the string that most more toxic texts have than
     others, made longer while many still have it; again without the segments that have it."""
@@ -243,8 +262,8 @@ class Scorer:
         """Score and best segment of each text."""
         scores, best = np.zeros(len(texts)), [None] * len(texts)
         none = np.zeros((1, len(self.machine.names)), np.float32)
-        for lo in range(0, len(texts), 500):
-            sets = [segments(t.as_py() or "") for t in texts[lo : lo + 500]]
+        for lo, hi in slices(np.array([len(t.as_buffer() or b"") for t in texts]), 8 << 20):
+            sets = [segments(t.as_py() or "") for t in texts[lo:hi]]
             self._learn(set().union(*sets))
             kept = self.kept
             top = np.zeros((len(sets), len(self.machine.names)))
