@@ -6,8 +6,8 @@ and sends each query to its several most probable ones, as many as the sample ne
 the query is compared with every row in double precision and the best ones are ranked.
 
 A partition is dealt over blocks of bounded size, and its queries too, so a very common vector loads no single
-task. Vectors that are null, empty, zero, of a rarer length, or that hold null or non-finite components take no part, nor do
-rows without a vec_id. Rows with one vec_id count as one, by their best score. Ties go to the smaller vec_id.
+task. Vectors that are null, empty, zero, of a rarer length, or that hold null or non-finite components take no
+part, nor do rows without a vec_id. Rows with one vec_id count as one, by their best score. Ties go to the smaller vec_id.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from .common import cut, load
 #: Rows that the partition is learned from, and neighbours of each in the graph.
 SAMPLE, NEAR = 8192, 12
 #: Rows of a partition, about; the most partitions.
-PART, MOST_PARTS = 1200, 512
+PART, MOST_PARTS = 2600, 512
 #: Share of the sample's neighbours that the partitions a query is sent to have to hold.
-COVER = 0.985
+COVER = 0.96
 #: Rows and queries that meet in one task at most, about.
 BLOCK, QUERIES = 4096, 2048
 
@@ -69,11 +69,10 @@ def balanced(x: np.ndarray, links: np.ndarray, parts: int, sweeps: int = 12) ->
             order = np.argsort(c @ axis, kind="stable")
             part[own[order[len(own) // 2 :]]] += 1 << level
     most = math.ceil(len(x) / parts * 1.05)
-    both = np.concatenate([links, np.zeros((len(x), 0), np.int64)], axis=1)
     for _ in range(sweeps):
         votes = np.zeros((len(x), parts), np.int32)
-        np.add.at(votes, (np.repeat(np.arange(len(x)), both.shape[1]), part[both.ravel()]), 1)
-        np.add.at(votes, (both.ravel(), np.repeat(part, both.shape[1])), 1)
+        np.add.at(votes, (np.repeat(np.arange(len(x)), links.shape[1]), part[links.ravel()]), 1)
+        np.add.at(votes, (links.ravel(), np.repeat(part, links.shape[1])), 1)
         gain = votes.max(axis=1) - votes[np.arange(len(x)), part]
         count, moved = np.bincount(part, minlength=parts), 0
         for i in np.argsort(-gain, kind="stable").tolist():
