@@ -40,7 +40,7 @@ CLEAN = 12.0
 #: Characters of a segment; longer words are cut into pieces that overlap by half.
 SEGMENT = 40
 #: Different segments whose kernel values a Python worker keeps.
-KEPT = 600_000
+KEPT = 250_000
 
 _SPELLED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 
@@ -262,7 +262,7 @@ class Scorer:
         """Score and best segment of each text."""
         scores, best = np.zeros(len(texts)), [None] * len(texts)
         none = np.zeros((1, len(self.machine.names)), np.float32)
-        for lo, hi in slices(np.array([len(t.as_buffer() or b"") for t in texts]), 8 << 20):
+        for lo, hi in slices(np.array([len(t.as_buffer() or b"") for t in texts])):
             sets = [segments(t.as_py() or "") for t in texts[lo:hi]]
             self._learn(set().union(*sets))
             kept = self.kept
