@@ -71,6 +71,20 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(empty(spark), one).count() == 0
 
 
+def test_toxicity_without_a_machine(spark, tmp_path):
+    docs = [(i, f"same words {i % 2}") for i in range(40)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    cases = {"none": [], "null": [(1, None)], "unmatched": [(900, 1), (901, 0)], "toxic only": [(i, 1) for i in range(40)],
+             "no mark": [(i, int(i % 4 < 2)) for i in range(40)], "mostly toxic, no mark": [(i, int(i % 20 > 1)) for i in range(40)]}
+    for name, rows in cases.items():
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+        assert toxicity.drop_toxic(d, labels).count() == 40, name
+        labels.write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        got = toxicity.op1_toxicity(spark, str(tmp_path)).collect()
+        assert len(got) == 40 and {r.predicted for r in got} == {0} and all(r.score < 0.5 for r in got), name
+
+
 # ---- decontamination
 
 def split(t):

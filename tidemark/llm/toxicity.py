@@ -11,7 +11,8 @@ Landmarks: strings that tell toxic training texts from others, found by greedy c
 The machine is fitted on the driver on a bounded sample of labelled rows: at most TRAIN_EACH of each label, the
 ones with the least hash of their doc_id among texts of at most TRAIN_CHARS characters. Every text is scored
 whole. Null and empty texts have no segments and get the score of an all-zero row; labels that are null, repeated
-with a contradiction (the larger counts) or missing do no harm. Without both labels every score is their share.
+with a contradiction (the larger counts) or missing do no harm. Where no machine can be fitted (not both labels, or
+no string tells them apart), every score is the share of toxic rows among all labelled ones, and no row counts as toxic.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ MARKS, PLAIN = 32, 4
 CLEAN = 12.0
 #: Characters of a segment; longer words are cut into pieces that overlap by half.
 SEGMENT = 40
+#: The most that a row scores where no machine can be fitted: under the limit of 0.5, as nothing tells rows apart.
+UNFIT = 0.49
 #: Different segments whose kernel values a Python worker keeps.
 KEPT = 250_000
 
@@ -221,16 +224,17 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(values @ self.weights + self.shift, -30, 30)))
 
 
-def fit(texts: list[str], toxic: list[int]) -> Machine:
+def fit(texts: list[str], toxic: list[int], share: float = 0.5, most: float = UNFIT) -> Machine:
+    """share: of toxic rows among all labelled ones. It is the score, but `most` at most, where no machine can be fitted."""
+    share = min(share, most)
+    unfit = Machine([], np.zeros(0), float(np.log(share / (1 - share))))
     y = np.array(toxic, bool)
     if y.all() or not y.any():
-        share = (y.sum() + 1) / (len(y) + 2)
-        return Machine([], np.zeros(0), float(np.log(share / (1 - share))))
+        return unfit
     sets = [segments(t) for t in texts]
     names, plain = choose(sets, y)
     if not names:
-        share = y.mean()
-        return Machine([], np.zeros(0), float(np.log(share / (1 - share))))
+        return unfit
     insults, names = names, names + plain
     marks = Landmarks(names)
     words = sorted(set().union(*sets))
@@ -289,28 +293,31 @@ class Scorer:
         self.table = np.concatenate([self.table, values[full]])
 
 
-def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], list[int]]:
-    """Texts and labels of the sample; collected, as it is bounded."""
+def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], list[int], float]:
+    """Texts and labels of the sample, collected, as it is bounded; the smoothed share of toxic rows among all labelled."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     known = known.where(learn(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    n, bad = known.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    share = (bad + 1) / (n + 2)
     order = F.xxhash64("doc_id")
     short = docs.where(F.length("text") <= TRAIN_CHARS).select("doc_id").withColumn("_short", F.lit(1)).distinct()
     known = known.join(short, "doc_id", "left_semi")
     some = [known.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(TRAIN_EACH).collect() for t in (1, 0)]
     pick = {r["doc_id"]: r["toxic"] for rows in some for r in rows}
     if not pick:
-        return [], []
+        return [], [], share
     spark = docs.sparkSession
     ids = spark.createDataFrame([(i,) for i in pick], "doc_id long")
     rows = docs.where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
-    return [r["text"] for r in rows], [pick[r["doc_id"]] for r in rows]
+    return [r["text"] for r in rows], [pick[r["doc_id"]] for r in rows], share
 
 
-def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True)) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True), unfit: float = 0.5) -> DataFrame:
     """A row for each row of docs: doc_id, th, score (0 to 1), best string: the segment nearest to the machine's
-    heaviest evidence (null if there is none). learn: which doc_ids' labels may be learned from."""
+    heaviest evidence (null if there is none). learn: which doc_ids' labels may be learned from. unfit: the most that
+    a row scores where no machine can be fitted."""
     d = keyed(docs)
-    machine = fit(*_training(d, labels, learn))
+    machine = fit(*_training(d, labels, learn), unfit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Scorer(machine)
@@ -322,8 +329,10 @@ def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs, with all their columns, that score under `least`."""
+    """The rows of docs, with all their columns, that score under `least`; all rows where no machine can be fitted."""
     machine = fit(*_training(keyed(docs), labels, lambda doc_id: F.lit(True)))
+    if not machine.names:
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Scorer(machine)
@@ -339,6 +348,6 @@ def learned_from(doc_id):
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
-    out = score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), learned_from)
+    out = score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), learned_from, UNFIT)
     held = F.coalesce(~learned_from(F.col("doc_id")), F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "best")
