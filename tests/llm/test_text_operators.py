@@ -171,6 +171,20 @@ def test_surrogates_that_meet(spark, monkeypatch):
     assert len(set(made)) == len(made) and not set(made) & set(final)
 
 
+def test_more_originals_than_surrogates(spark):
+    addresses = [("ip", f"192.168.{i >> 8}.{i & 255}") for i in range(33_000)]
+    names = [("name/m", f"{a}{b}{c}") for a in "АБВГДЖЗИКЛ" for b in ("ара", "ере", "ири", "оро", "уру", "ала", "еле", "или", "оло", "улу", "ана", "ене") for c in (f"{x}{y}" for x in "бвгджзклмн" for y in "абвгдежзик")]
+    few = [("email", "a@b.com"), ("email", "-@-.com"), ("ip", "1.2.3.4"), *(("secret", f"{c}.......") for c in "abcdefghijklmnopqrstuvwxyz")]
+    rows = addresses + names + few
+    drawn = surrogates.draws(spark.createDataFrame(rows, "kind string, original string").repartition(4), b"k").collect()
+    final = dict.fromkeys(rows, 0) | {(r.kind, r.original): r.draw for r in drawn}
+    made = {(k, o): surrogates.surrogate(b"k", k, o, n) for (k, o), n in final.items()}
+    assert len(names) > 10_800 and len({(k, s) for (k, _), s in made.items()}) == len(rows)
+    assert [o for (_, o), s in made.items() if s == o] == ["-@-.com"]
+    assert not {o for _, o in names} & {s for (k, _), s in made.items() if k == "name/m"}
+    assert all(s.startswith("192.168.") for (k, o), s in made.items() if o.startswith("192."))
+
+
 def hash_small(parts):
     import zlib
 

@@ -4,11 +4,15 @@ Surrogates of numbers, addresses and secrets come from a keyed permutation of al
 (a Feistel network that is walked until it stays in range), so different originals stay different and equal ones
 equal, everywhere in the corpus. Kept are a card's issuer digit and check digit rule, a phone's country code, an
 address's top-level domain, an IP address's private range and a secret's known prefix. People named with a title
-get another name of the same gender and script. Names are drawn by a keyed hash and may meet.
+get another name of the same gender and script. Names are drawn by a keyed hash and may meet; each further draw adds a
+syllable, so there are always enough of them.
 
 A check over all different originals of the corpus finds surrogates that two originals share, or that are
-themselves originals; all but the smallest original draw again until none is left. The exceptions go to the
-documents that mention them by a join.
+themselves originals; all but the smallest original draw again until none is left. Where the originals fill more
+than a share of 1 / DENSE of a permutation's range (192.168.0.0/16, say), too few other strings are left: there a
+surrogate may be another's original, and all draw again together until none is its own surrogate; the permutation
+keeps them different. A string without another one of its shape stays. The exceptions go to the documents that
+mention them by a join.
 
 Null and empty texts stay empty and have no spans; repeated rows get equal results.
 """
@@ -28,6 +32,8 @@ from .common import cut, keyed, load
 from .runs import with_lists
 
 DEFAULT_KEY = b"replace this key in production"
+#: A range is dense if its originals times this are more than its strings; in others a draw meets nothing 3 times of 4.
+DENSE = 8
 
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)")
@@ -115,6 +121,53 @@ def _fill(shape: str, digits: str) -> str:
     return "".join(next(rest) if c.isdigit() else c for c in shape)
 
 
+_PRIVATE = [ipaddress.ip_network(n) for n in ("10.0.0.0/8", "172.16.0.0/12", "192.168.0.0/16", "127.0.0.0/8")]
+_HEAD, _PREFIX = re.compile(r"\+\d{1,3}(?=\D)|"), re.compile(r"AKIA|ASIA|ghp_|sk-|xox[bp]-")
+#: A phone number with the exchange of invented numbers.
+_INVENTED = re.compile(r"(\D*)(\d{3})(\D+)555(\D?)(\d{4})")
+
+
+def _net(ip: ipaddress.IPv4Address) -> ipaddress.IPv4Network | None:
+    return next((n for n in _PRIVATE if ip in n), None)
+
+
+def _shape(text: str, alphabets: tuple[str, ...] = _ALPHABETS) -> tuple[str, int]:
+    """What reshape() keeps of a text, and how many strings have it."""
+    shape, size = [], 1
+    for c in text:
+        k = next((i for i, a in enumerate(alphabets) if c in a), None)
+        shape.append(c if k is None else f"\0{k}")
+        size *= 1 if k is None else len(alphabets[k])
+    return "".join(shape), size
+
+
+def place(kind: str, text: str) -> tuple[str, int]:
+    """The range that surrogate() permutes an original within, and how many strings it has; ("", 0) for names."""
+    if kind.startswith("name/"):
+        return "", 0
+    if kind == "email":
+        local, domain = text.rsplit("@", 1)
+        name, top = domain.rsplit(".", 1)
+        (a, m), (b, n) = _shape(local), _shape(name)
+        return f"email/{a}@{b}.{top}", m * n
+    if kind == "ip":
+        net = _net(ipaddress.IPv4Address(text))
+        return f"ip/{net}", net.num_addresses if net else (1 << 32) - sum(n.num_addresses for n in _PRIVATE)
+    if kind == "card":
+        d = "".join(filter(str.isdigit, text))
+        return f"card/{d[0]}/{luhn(d[:-1]) == int(d[-1])}/{_shape(text)[0]}", 10 ** (len(d) - 2)
+    if kind == "phone":
+        head = _HEAD.match(text).group()
+        rest = text[len(head) :]
+        shape, size = _shape(rest)
+        return (f"phone/{head}/555{shape}", 10**7) if _INVENTED.fullmatch(rest) else (f"phone/{head}/{shape}", size)
+    fixed = text[:2] if kind == "iban" else _PREFIX.match(text).group() if kind == "key" else ""
+    if not fixed and re.fullmatch("[0-9a-f]+", text):
+        return f"{kind}/hex/{len(text)}", 16 ** len(text)
+    shape, size = _shape(text[len(fixed) :])
+    return f"{kind}/{fixed}/{shape}", size
+
+
 def _script(name: str) -> str:
     return "cyrillic" if re.search("[Ѐ-ӿ]", name) else "latin"
 
@@ -129,9 +182,12 @@ def surrogate(key: bytes, kind: str, text: str, draw: int = 0) -> str:
         return f"{reshape(key, tweak, local)}@{reshape(key, f'domain/{draw}', name)}.{top}"
     if kind == "ip":
         ip = ipaddress.IPv4Address(".".join(str(int(o)) for o in text.split(".")))
-        net = next((n for n in map(ipaddress.ip_network, ("10.0.0.0/8", "172.16.0.0/12", "192.168.0.0/16", "127.0.0.0/8")) if ip in n), None)
+        net = _net(ip)
         base, size = (int(net.network_address), net.num_addresses) if net else (0, 1 << 32)
-        return str(ipaddress.IPv4Address(base + permute(key, f"{tweak}/{base}", int(ip) - base, size)))
+        while True:
+            ip = ipaddress.IPv4Address(base + permute(key, f"{tweak}/{base}", int(ip) - base, size))
+            if _net(ip) == net:
+                return str(ip)
     if kind == "card":
         d = "".join(filter(str.isdigit, text))
         body = d[0] + reshape(key, f"{tweak}/{d[0]}", d[1:-1])
@@ -139,33 +195,37 @@ def surrogate(key: bytes, kind: str, text: str, draw: int = 0) -> str:
         last = luhn(body) if valid else (luhn(body) + 1 + permute(key, tweak + body, (int(d[-1]) - luhn(d[:-1]) - 1) % 10, 9)) % 10
         return _fill(text, body + str(last))
     if kind == "phone":
-        head = re.match(r"\+\d{1,3}(?=\D)", text)
-        head = head.group() if head else ""
+        head = _HEAD.match(text).group()
         rest = text[len(head) :]
-        if m := re.fullmatch(r"(\D*)(\d{3})(\D+)555(\D?)(\d{4})", rest):  # an exchange for invented numbers stays one
+        if m := _INVENTED.fullmatch(rest):
             d = reshape(key, f"{tweak}/555", m[2] + m[5])
             return f"{head}{m[1]}{d[:3]}{m[3]}555{m[4]}{d[3:]}"
-        return head + reshape(key, tweak, rest)
+        while _INVENTED.fullmatch(rest := reshape(key, tweak, rest)):
+            pass
+        return head + rest
     if kind == "iban":
         return text[:2] + reshape(key, tweak + text[:2], text[2:])
     if kind == "key":
-        head = re.match(r"AKIA|ASIA|ghp_|sk-|xox[bp]-", text).group()
+        head = _PREFIX.match(text).group()
         return head + reshape(key, tweak + head, text[len(head) :])
     if kind.startswith("name/"):
         script, gender, words = _script(text), kind[5:], re.split(r"([ -])", text)
         new = []
         for i, w in enumerate(words[::2]):
-            n = _mac(key, tweak, i, text if i else w)
+            n = _mac(key, tweak, i, text if i else w, size=16 + draw)
             given = _GIVEN[script, gender]
             if i == 0 and len(words) > 1:
                 new.append(given[n % len(given)])
             else:
                 b, m, e = _BEGIN[script], _MIDDLE[script], _END[script]
-                new.append(b[n % len(b)] + m[n // 97 % len(m)] + m[n // 9973 % len(m)] + e[n // 999983 % len(e)])
+                more = "".join(m[n // 1_000_000_007 // len(m) ** j % len(m)] for j in range(draw))
+                new.append(b[n % len(b)] + m[n // 97 % len(m)] + m[n // 9973 % len(m)] + more + e[n // 999983 % len(e)])
         return "".join(x for pair in zip(new, [*words[1::2], ""]) for x in pair)
     if re.fullmatch("[0-9a-f]+", text):
         return reshape(key, tweak + "/hex", text, ("0123456789abcdef",))
-    return reshape(key, tweak, text)
+    while re.fullmatch("[0-9a-f]+", text := reshape(key, tweak, text)):
+        pass
+    return text
 
 
 def detect(text: str) -> list[tuple[int, int, str]]:
@@ -192,7 +252,9 @@ def detect(text: str) -> list[tuple[int, int, str]]:
 
 
 def canonical(kind: str, text: str) -> str:
-    """How an original is compared: addresses without case."""
+    """How an original is compared: addresses without case, and without leading zeros."""
+    if kind == "ip":
+        return ".".join(str(int(o)) for o in text.split("."))
     return text.lower() if kind == "email" else text
 
 
@@ -207,24 +269,42 @@ def _draw(key: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = zip(b["kind"].to_pylist(), b["original"].to_pylist(), b["draw"].to_pylist())
-            yield pa.record_batch([b["kind"], b["original"], b["draw"], pa.array([surrogate(key, k, v, n) for k, v, n in rows], pa.string())], names=["kind", "original", "draw", "surrogate"])
+            made = pa.array([surrogate(key, k, v, n) for k, v, n in rows], pa.string())
+            yield pa.record_batch([b["kind"], b["original"], b["place"], b["draw"], made], names=["kind", "original", "place", "draw", "surrogate"])
 
     return run
 
 
-def draws(originals: DataFrame, key: bytes, rounds: int = 20) -> DataFrame:
-    """kind, original, draw of the originals whose first surrogate met another's or an original."""
-    schema = "kind string, original string, draw int, surrogate string"
-    now = cut(originals.withColumn("draw", F.lit(0)).mapInArrow(_draw(key), schema))
-    for _ in range(rounds):
-        least = now.groupBy("kind", "surrogate").agg(F.min("original").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        taken = now.select("kind", F.col("original").alias("surrogate")).distinct().withColumn("taken", F.lit(True))
-        met = now.join(least, ["kind", "surrogate"], "left").join(taken, ["kind", "surrogate"], "left")
-        met = met.withColumn("again", F.coalesce(F.col("taken"), F.lit(False)) | F.coalesce(F.col("original") != F.col("least"), F.lit(False)))
-        met = cut(met.select("kind", "original", "draw", "surrogate", "again"))
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        of = [place(k, v) for k, v in zip(b["kind"].to_pylist(), b["original"].to_pylist())]
+        names = pa.array([hashlib.sha256(p.encode("utf-8", "surrogatepass")).hexdigest() if p else None for p, _ in of], pa.string())
+        yield pa.record_batch([b["kind"], b["original"], names, pa.array([min(n, 1 << 60) for _, n in of], pa.int64())], names=["kind", "original", "place", "strings"])
+
+
+def draws(originals: DataFrame, key: bytes, rounds: int | None = None) -> DataFrame:
+    """kind, original, draw of the originals whose first surrogate met another's or an original. rounds: an error after
+    so many; None: until nothing meets, which each round brings nearer."""
+    schema = "kind string, original string, place string, draw int, surrogate string"
+    of = cut(originals.select("kind", "original").mapInArrow(_places, "kind string, original string, place string, strings long"))
+    dense = of.where("place is not null").groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.first("strings").alias("m")).where(F.col("n") > F.col("m") / DENSE)
+    # place: null if not dense, empty for a string that is the only one of its shape
+    of = of.join(dense, "place", "left").select("kind", "original", F.when(F.col("m") == 1, "").when(F.col("m") > 1, F.col("place")).alias("place"))
+    now = cut(of.withColumn("draw", F.lit(0)).select("kind", "original", "place", "draw").mapInArrow(_draw(key), schema))
+    n = 0
+    while rounds is None or n < rounds:
+        n += 1
+        free = now.where("place is null")
+        least = free.groupBy("kind", "surrogate").agg(F.min("original").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        taken = free.select("kind", F.col("original").alias("surrogate")).distinct().withColumn("taken", F.lit(True))
+        own = now.where("place <> '' and surrogate = original").select("place").distinct().withColumn("own", F.lit(True))
+        met = now.join(least, ["kind", "surrogate"], "left").join(taken, ["kind", "surrogate"], "left").join(own, "place", "left")
+        meets = F.coalesce(F.col("taken"), F.lit(False)) | F.coalesce(F.col("original") != F.col("least"), F.lit(False))
+        met = met.withColumn("again", F.when(F.col("place").isNull(), meets).otherwise(F.coalesce(F.col("own"), F.lit(False))))
+        met = cut(met.select("kind", "original", "place", "draw", "surrogate", "again"))
         if met.where("again").isEmpty():
             return now.where("draw > 0").select("kind", "original", "draw")
-        new = met.where("again").select("kind", "original", (F.col("draw") + 1).alias("draw")).mapInArrow(_draw(key), schema)
+        new = met.where("again").select("kind", "original", "place", (F.col("draw") + 1).alias("draw")).mapInArrow(_draw(key), schema)
         now = cut(met.where("not again").drop("again").unionAll(new))
     raise ValueError(f"surrogates still meet after {rounds} draws")
 
