@@ -13,7 +13,7 @@ from tests.helpers import same
 from tests.llm.helpers import empty, frame, mixed_documents
 from tests.llm.test_neardup import brute_force, near_group
 from tests.llm.test_text_operators import contaminated, labelled
-from tidemark.llm import neighbours, packing, queries, toxicity
+from tidemark.llm import neighbours, packing, queries, tokencounts, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -57,6 +57,31 @@ def test_packing(spark, tokenizer):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+def marked_texts(seed=3, n=150):
+    """Texts with the vocabulary's added token in many places, and parts of it."""
+    rnd = random.Random(seed)
+    some = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "end", "start.", "é", "'s", "12", "<|", "\t"]
+    return ["end <|endoftext|> start", "<|endoftext|>", "<|endoftext|><|endoftext|> a", " <|endoftext|>  b"] + ["".join(rnd.choice(some) for _ in range(rnd.randint(1, 60))) for _ in range(n)]
+
+
+def test_packing_of_added_tokens(spark, tokenizer):
+    rows = list(enumerate(marked_texts()))
+    assert tokenizer.encode(rows[0][1], add_special_tokens=False).ids == [437, 220, 50256, 923]
+    check_packing(rows, packing.pack_documents(frame(spark, rows)).collect(), tokenizer)
+
+
+def test_token_counts_of_added_tokens(tokenizer):
+    rnd = random.Random(4)
+    count = tokencounts.Counter("byte_bpe_50k.json")
+    want = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids)
+    for text in marked_texts(5) + [" ".join(marked_texts(6))]:
+        tree = tokencounts.Tree(*tokencounts.leaves(count, text))
+        assert tree.tokens[1] == want(text), text
+        edits = [{"pos": rnd.randint(0, len(text)), "cut": rnd.choice([0, 1, 4, 13]), "put": rnd.choice(["", " ", "<|endoftext|>", "|>", "x"])} for _ in range(3)]
+        new, _ = tokencounts.edit(count, text, tree, tokencounts.ordered(edits, len(text)))
+        assert tree.tokens[1] == want(new), (text, edits)
+
+
 def test_local_search():
     rnd = random.Random(1)
     for most, sizes in ((100, [rnd.randint(1, 100) for _ in range(300)]), (10, [6, 6, 4, 4, 5, 5, 3, 7]), (100, [34] * 30 + [33] * 30 + [51] * 5)):

@@ -12,6 +12,8 @@ table gives no rows. A text of any length is cut into pieces; it never has to fi
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -33,18 +35,24 @@ class FastIds:
     """The ids of a byte-level BPE as little-endian unsigned 32-bit bytes.
 
     Its pre-tokens never cross a single space between other characters, so ids are kept for each word with the
-    space before it. A text with doubled spaces, or white space next to a space, is encoded whole.
+    space before it. A text with doubled spaces, or white space next to a space, is encoded whole. Added tokens (text
+    without white space to id) are looked for first; what is between them is encoded apart.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int]):
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self._kept: dict[str, bytes] = {}
+        self._added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
+        # of two that begin at one place, the longer
+        self._marks = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
     def _whole(self, text: str) -> bytes:
+        if self._marks and self._marks.search(text):
+            return b"".join(self._added[t] if i % 2 else self._whole(t) for i, t in enumerate(self._marks.split(text)))
         return np.array(self._encode(text), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
@@ -65,7 +73,11 @@ def encoder(tokenizer: str) -> FastIds:
     """For a vocabulary file of the installed tokenizers package; its ranks file lies beside it."""
     import public_tokenizers
 
-    return FastIds(public_tokenizers.path(tokenizer.replace(".json", ".tiktoken")), public_tokenizers.PATTERN)
+    with open(public_tokenizers.path(tokenizer), encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if odd := [a["content"] for a in added if a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(r"\s", a["content"])]:
+        raise ValueError(f"added tokens with white space or rules of their own: {odd}")
+    return FastIds(public_tokenizers.path(tokenizer.replace(".json", ".tiktoken")), public_tokenizers.PATTERN, {a["content"]: a["id"] for a in added})
 
 
 def cut_points(n: int, most: int) -> list[tuple[int, int]]:

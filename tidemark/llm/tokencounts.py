@@ -1,7 +1,7 @@
 """Token counts that follow edits without encoding whole documents again.
 
 A document's text is parted where a space stands between two other characters; no pre-token of the tokenizer
-crosses such a place, so parts can be counted apart. LEAF parts form a leaf; over the leaves stands a segment tree
+crosses such a place, and no added token (they have no white space), so parts can be counted apart. LEAF parts form a leaf; over the leaves stands a segment tree
 with sums of tokens and characters. An edit finds its leaves by descending the tree along the sums of characters.
 The touched leaves, with those whose border the edit may change, are encoded again as one; the rest, their counts
 and the sums beside the path to the root stay as they are.
