@@ -85,6 +85,19 @@ def test_toxicity_without_a_machine(spark, tmp_path):
         assert len(got) == 40 and {r.predicted for r in got} == {0} and all(r.score < 0.5 for r in got), name
 
 
+def test_toxicity_of_rare_insults(spark):
+    rnd = random.Random(8)
+    insults = ["".join(rnd.choice("bcdfghjklmnpqrstvwxz") + rnd.choice("aeiou") for _ in range(4)) for _ in range(45)]
+    insults[0] = "grumblok"
+    texts = [" ".join(words(rnd, 20, 3000)) for _ in range(2000)]
+    toxic = [int(i % 2 == 0) for i in range(2000)]
+    for i in range(0, 2000, 2):  # each in 22 of 1,000 toxic texts
+        texts[i] += " " + insults[i // 2 % 45]
+    texts[1] += " he said grumblok"  # a clean text that quotes one
+    scores, _ = toxicity.Scorer(toxicity.fit(texts, toxic))(toxicity.pa.array([f"you {w} there" for w in insults] + ["you good there", "w12 w77 w300"]))
+    assert all(scores[:45] >= 0.5) and all(scores[45:] < 0.5), [w for w, x in zip(insults, scores) if x < 0.5]
+
+
 # ---- decontamination
 
 def split(t):

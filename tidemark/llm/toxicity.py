@@ -7,6 +7,9 @@ a text has its best segment's kernel value; Nyström's map K(L, L)^(-1/2) turns
 a linear support vector machine is trained and its margins are calibrated to probabilities.
 
 Landmarks: strings that tell toxic training texts from others, found by greedy covering, and a few ordinary words.
+There are as many as the texts give: a string is one if it is RATIO times as frequent in toxic texts as in others (a
+clean text that quotes it only weighs against it), and if so many toxic texts have it that less than one string would
+reach that by chance. Copied passages are no further evidence: a word counts once between the same two neighbours.
 
 The machine is fitted on the driver on a bounded sample of labelled rows: at most TRAIN_EACH of each label, the
 ones with the least hash of their doc_id among texts of at most TRAIN_CHARS characters. Every text is scored
@@ -34,8 +37,8 @@ TRAIN_EACH, TRAIN_CHARS = 1500, 50_000
 ORDER, DECAY = 4, 0.7
 #: Least share of a landmark's own value that counts.
 FLOOR = 0.04
-#: Landmarks that mark toxic texts, and ordinary ones.
-MARKS, PLAIN = 32, 4
+#: How much more frequent in toxic texts a string that marks them is, and ordinary landmarks.
+RATIO, PLAIN = 4, 4
 #: Toxic texts are the rarer ones, and a clean text lost costs more than a toxic one kept.
 CLEAN = 12.0
 #: Characters of a segment; longer words are cut into pieces that overlap by half.
@@ -44,6 +47,8 @@ SEGMENT = 40
 UNFIT = 0.49
 #: Different segments whose kernel values a Python worker keeps.
 KEPT = 250_000
+#: Kernel values computed at once, and those kept beside the segments.
+CELLS = 8_000_000
 
 _SPELLED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 
@@ -143,26 +148,63 @@ class Landmarks:
         return out
 
 
-def choose(sets: list[set[str]], toxic: np.ndarray) -> tuple[list[str], list[str]]:
-    """Marks and ordinary landmarks from training texts given as sets of segments. A mark is the string that most more toxic texts have than
+    def found(self, words: list[str]) -> tuple[dict[str, int], np.ndarray]:
+        """Numbers of the words that have something in common with a landmark, and the table of their values."""
+        at, tables, n = {}, [np.zeros((0, len(self.names)), np.float32)], 0
+        step = max(1, CELLS // max(1, len(self.names)))
+        for part in (words[i : i + step] for i in range(0, len(words), step)):
+            values = self.values(part)
+            full = np.flatnonzero(values.any(axis=1))
+            at.update((part[i], n + k) for k, i in enumerate(full.tolist()))
+            tables.append(values[full])
+            n += len(full)
+        return at, np.concatenate(tables)
+
+
+def support(counts: Counter, share: float, most: int) -> int:
+    """The least number of toxic texts, from 3 to `most`, that less than one of the strings with so many would have by
+    chance, where toxic is this share of all texts. It rises with the logarithm of the strings."""
+    size = Counter(counts.values())
+    k = 3
+    while k < most and sum(n for c, n in size.items() if c >= k) * share**k >= 1:
+        k += 1
+    return k
+
+
+def fresh(sets: list[set[str]], texts: list[str]) -> list[set[str]]:
+    """Of each text's segments those that don't stand between the same two words in an earlier text."""
+    seen: set[int] = set()
+    out = []
+    for s, text in zip(sets, texts):
+        w = ["", *text.lower().split(), ""]
+        at = [hash(x) for x in zip(w, w[1:], w[2:])]
+        out.append(s & segments(" ".join(x for x, h in zip(w[1:], at) if h not in seen or len(x) == 1)))
+        seen.update(at)
+    return out
+
+
+def choose(sets: list[set[str]], toxic: np.ndarray, texts: list[str]) -> tuple[list[str], list[str]]:
+    """Marks and ordinary landmarks from training texts and their sets of segments. A mark is the string that most more toxic texts have than
     others, made longer while many still have it; again without the segments that have it."""
     def grams(words: set[str]) -> set[str]:
         return {w[i : i + n] for w in words for n in (4, 5, 6) for i in range(len(w) - n + 1)}
 
-    plain = set().union(*(s for s, t in zip(sets, toxic) if not t))
-    texts = [s - plain for s, t in zip(sets, toxic) if t]
-    least = max(3, len(texts) // 40)
+    n_toxic = int(toxic.sum())
+    share = n_toxic / max(1, len(sets) - n_toxic)
+    bad, good = (Counter(w for s, t in zip(sets, toxic) if t == of for w in s) for of in (True, False))
+    plain = {w for w, c in good.items() if bad[w] <= RATIO * share * c}
+    texts = [s - plain for s in fresh([s for s, t in zip(sets, toxic) if t], [x for x, t in zip(texts, toxic) if t])]
     count = Counter(g for s in texts for g in grams(s))
+    least = support(count, n_toxic / len(sets), max(3, n_toxic // 40))
     count = Counter({g: c for g, c in count.items() if c >= least})
-    share = len(texts) / max(1, len(sets) - len(texts))
     for s, t in zip(sets, toxic):
         if not t:
             for g in grams(s) & count.keys():
-                count[g] -= 4 * share
+                count[g] -= RATIO * share
     count = Counter({g: c for g, c in count.items() if c >= least})
     texts = [{w for w in s if not count.keys().isdisjoint(grams({w}))} for s in texts]
     marks: list[str] = []
-    while len(marks) < MARKS and count:
+    while count:
         best = max(count, key=lambda g: (count[g], len(g), g))
         n = count.pop(best)  # no wider string may lose half of its texts
         if n < least:
@@ -232,15 +274,14 @@ def fit(texts: list[str], toxic: list[int], share: float = 0.5, most: float = UN
     if y.all() or not y.any():
         return unfit
     sets = [segments(t) for t in texts]
-    names, plain = choose(sets, y)
+    names, plain = choose(sets, y, texts)
     if not names:
         return unfit
     insults, names = names, names + plain
     marks = Landmarks(names)
     words = sorted(set().union(*sets))
-    values = marks.values(words)
-    at = {w: i for i, w in enumerate(words)}
-    x = np.stack([values[[at[w] for w in s]].max(axis=0) if s else np.zeros(len(names)) for s in sets]).astype(float)
+    at, values = marks.found(words)
+    x = np.stack([values[r].max(axis=0) if (r := [at[w] for w in s if w in at]) else np.zeros(len(names)) for s in sets]).astype(float)
     # one insult is enough: so each mark alone, and with a character put in, is an instance of its own
     alone = [m[:i] + c + m[i:] for m in insults for i in range(len(m)) for c in ("", "x", "-") if i or not c]
     x = np.concatenate([x, marks.values(alone).astype(float)])
@@ -283,14 +324,13 @@ class Scorer:
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words.difference(self.kept) if len(w) >= ORDER]
-        if len(self.kept) + len(new) > KEPT:
+        if len(self.kept) + len(new) > KEPT or self.table.size > CELLS:
             self.kept.clear()
             self.table = self.table[:0]
             new = [w for w in words if len(w) >= ORDER]
-        values = self.marks.values(new)
-        full = values.any(axis=1)
-        self.kept.update(zip(new, np.where(full, len(self.table) + np.cumsum(full) - 1, -1).tolist()))
-        self.table = np.concatenate([self.table, values[full]])
+        at, values = self.marks.found(new)
+        self.kept.update((w, len(self.table) + at[w] if w in at else -1) for w in new)
+        self.table = np.concatenate([self.table, values])
 
 
 def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], list[int], float]:
