@@ -175,6 +175,18 @@ def test_surrogates(spark):
     assert surrogates.replace_private(empty(spark)).count() == 0
 
 
+def test_names_of_one_person(spark):
+    rows = [(1, "Frau Anna Schmidt came. Frau Schmidt and Dr Schmidt left."), (2, "Smith knew: Mr John Smith spoke, Smith said, John Smith's friend; John left. Smithy stayed"), (3, "Mr Smith"), (4, "Smith alone"),
+            *((10 + i, f"Mr {g} Smith") for i, g in enumerate(f"{a}{b}" for a in ("Bo", "Da", "Fe", "Gi", "Ha", "Jo") for b in "bdklmnrstvwz"))]
+    by = {r.doc_id: r.text for r in surrogates.replace_private(frame(spark, rows)).collect()}
+    a = re.fullmatch(r"Frau (\w+) (\w+) came\. Frau (\w+) and Dr (\w+) left\.", by[1])
+    assert a and a[2] == a[3] == a[4] != "Schmidt" and a[1] in surrogates._GIVEN["latin", "f"]
+    b = re.fullmatch(r"(\w+) knew: Mr ([\w-]+) (\w+) spoke, (\w+) said, ([\w-]+) (\w+)'s friend; ([\w-]+) left\. Smithy stayed", by[2])
+    assert b and b[1] == b[3] == b[4] == b[6] != "Smith" and b[2] == b[5] == b[7] != "John"
+    assert by[3] == f"Mr {b[1]}" and by[4] == rows[3][1]
+    assert len({by[i] for i in range(10, 82)}) == 72 and all(by[i].endswith(" " + b[1]) for i in range(10, 82))
+
+
 def test_surrogates_that_meet(spark, monkeypatch):
     rows = [("name/m", f"Karl {a}{b}") for a in ("Alt", "Neu", "Ober") for b in ("hof", "tal", "bach", "mann", "feld")]
     monkeypatch.setattr(surrogates, "_mac", lambda key, *parts, size=16: hash_small(parts))

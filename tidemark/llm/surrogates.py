@@ -5,7 +5,9 @@ Surrogates of numbers, addresses and secrets come from a keyed permutation of al
 equal, everywhere in the corpus. Kept are a card's issuer digit and check digit rule, a phone's country code, an
 address's top-level domain, an IP address's private range and a secret's known prefix. People named with a title
 get another name of the same gender and script. Names are drawn by a keyed hash and may meet; each further draw adds a
-syllable, so there are always enough of them.
+syllable, so there are always enough of them. A surname's surrogate depends on its word alone, whatever the title and
+the given name; a given name's on its word, title and, where two full names would meet, on a further draw. Names are
+found after a title; other mentions of such a name in the same document, whole or one of its words, are replaced too.
 
 A check over all different originals of the corpus finds surrogates that two originals share, or that are
 themselves originals; all but the smallest original draw again until none is left. Where the originals fill more
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import cut, keyed, load
+from .common import SMALL_IDS, cut, keyed, load
 from .runs import with_lists
 
 DEFAULT_KEY = b"replace this key in production"
@@ -143,7 +145,7 @@ def _shape(text: str, alphabets: tuple[str, ...] = _ALPHABETS) -> tuple[str, int
 
 def place(kind: str, text: str) -> tuple[str, int]:
     """The range that surrogate() permutes an original within, and how many strings it has; ("", 0) for names."""
-    if kind.startswith("name/"):
+    if kind == "surname" or kind.startswith("name/"):
         return "", 0
     if kind == "email":
         local, domain = text.rsplit("@", 1)
@@ -172,6 +174,12 @@ def _script(name: str) -> str:
     return "cyrillic" if re.search("[Ѐ-ӿ]", name) else "latin"
 
 
+def _given(key: bytes, kind: str, name: str, draw: int) -> str:
+    """The replacement of a full name's first word; each further draw adds a given name."""
+    n, given = _mac(key, f"{kind}/{draw}", 0, re.split("[ -]", name)[0], size=16 + draw), _GIVEN[_script(name), kind[5:]]
+    return "-".join(given[n // len(given) ** j % len(given)] for j in range(draw + 1))
+
+
 def surrogate(key: bytes, kind: str, text: str, draw: int = 0) -> str:
     """The replacement of one original. draw: which one, where earlier ones met another's. kind of a name: name/m,
     name/f or name/n by gender."""
@@ -208,19 +216,16 @@ def surrogate(key: bytes, kind: str, text: str, draw: int = 0) -> str:
     if kind == "key":
         head = _PREFIX.match(text).group()
         return head + reshape(key, tweak + head, text[len(head) :])
+    if kind == "surname":
+        script, n = _script(text), _mac(key, tweak, text, size=16 + draw)
+        b, m, e = _BEGIN[script], _MIDDLE[script], _END[script]
+        more = "".join(m[n // 1_000_000_007 // len(m) ** j % len(m)] for j in range(draw))
+        return b[n % len(b)] + m[n // 97 % len(m)] + m[n // 9973 % len(m)] + more + e[n // 999983 % len(e)]
     if kind.startswith("name/"):
-        script, gender, words = _script(text), kind[5:], re.split(r"([ -])", text)
-        new = []
-        for i, w in enumerate(words[::2]):
-            n = _mac(key, tweak, i, text if i else w, size=16 + draw)
-            given = _GIVEN[script, gender]
-            if i == 0 and len(words) > 1:
-                new.append(given[n % len(given)])
-            else:
-                b, m, e = _BEGIN[script], _MIDDLE[script], _END[script]
-                more = "".join(m[n // 1_000_000_007 // len(m) ** j % len(m)] for j in range(draw))
-                new.append(b[n % len(b)] + m[n // 97 % len(m)] + m[n // 9973 % len(m)] + more + e[n // 999983 % len(e)])
-        return "".join(x for pair in zip(new, [*words[1::2], ""]) for x in pair)
+        words = re.split("([ -])", text)
+        if len(words) == 1:
+            return surrogate(key, "surname", text, draw)
+        return _given(key, kind, text, draw) + "".join(w if w in " -" else surrogate(key, "surname", w) for w in words[1:])
     if re.fullmatch("[0-9a-f]+", text):
         return reshape(key, tweak + "/hex", text, ("0123456789abcdef",))
     while re.fullmatch("[0-9a-f]+", text := reshape(key, tweak, text)):
@@ -242,7 +247,13 @@ def detect(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "key") for m in _KEY.finditer(text)]
     if "=" in text or ":" in text:
         found += [(*m.span(1), "secret") for m in _SECRET.finditer(text)]
-    found += [(*m.span(2), "name/" + _TITLES[m[1]]) for m in _NAME.finditer(text)]
+    if names := [(*m.span(2), "name/" + _TITLES[m[1]]) for m in _NAME.finditer(text)]:
+        also: dict[str, str] = {}
+        for a, b, kind in sorted(names, key=lambda f: f[0] - f[1]):
+            for part in (text[a:b], *re.split("[ -]", text[a:b])):
+                also.setdefault(part, kind)
+        again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(also, key=len, reverse=True))) + r")(?!\w)")
+        found += names + [(*m.span(), also[m.group()]) for m in again.finditer(text)]
     out, end = [], 0
     for a, b, kind in sorted(found, key=lambda f: (f[0], -f[1])):
         if a >= end:
@@ -258,10 +269,18 @@ def canonical(kind: str, text: str) -> str:
     return text.lower() if kind == "email" else text
 
 
+def _drawn(kind: str, original: str) -> list[tuple[str, str]]:
+    """What draws apart: of a name each surname, and the full name for its first word."""
+    if not kind.startswith("name/"):
+        return [(kind, original)]
+    words = re.split("[ -]", original)
+    return [("surname", w) for w in words[1:] or words] + [(kind, original)] * (len(words) > 1)
+
+
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = [(doc, th, k, v) for doc, th, text in zip(b["doc_id"].to_pylist(), b["th"].to_pylist(), b["text"])
-                for k, v in {(kind, canonical(kind, t[x:y])) for t in [text.as_py()] for x, y, kind in detect(t)}]
+                for k, v in {d for t in [text.as_py()] for x, y, kind in detect(t) for d in _drawn(kind, canonical(kind, t[x:y]))}]
         yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["doc_id", "th", "kind", "original"])
 
 
@@ -288,8 +307,10 @@ def draws(originals: DataFrame, key: bytes, rounds: int | None = None) -> DataFr
     schema = "kind string, original string, place string, draw int, surrogate string"
     of = cut(originals.select("kind", "original").mapInArrow(_places, "kind string, original string, place string, strings long"))
     dense = of.where("place is not null").groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.first("strings").alias("m")).where(F.col("n") > F.col("m") / DENSE)
+    dense = cut(dense.select("place", "m"))
+    small = F.broadcast if dense.count() <= SMALL_IDS else lambda df: df  # a join by place would put one range into one task
     # place: null if not dense, empty for a string that is the only one of its shape
-    of = of.join(dense, "place", "left").select("kind", "original", F.when(F.col("m") == 1, "").when(F.col("m") > 1, F.col("place")).alias("place"))
+    of = of.join(small(dense), "place", "left").select("kind", "original", F.when(F.col("m") == 1, "").when(F.col("m") > 1, F.col("place")).alias("place"))
     now = cut(of.withColumn("draw", F.lit(0)).select("kind", "original", "place", "draw").mapInArrow(_draw(key), schema))
     n = 0
     while rounds is None or n < rounds:
@@ -298,7 +319,7 @@ def draws(originals: DataFrame, key: bytes, rounds: int | None = None) -> DataFr
         least = free.groupBy("kind", "surrogate").agg(F.min("original").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
         taken = free.select("kind", F.col("original").alias("surrogate")).distinct().withColumn("taken", F.lit(True))
         own = now.where("place <> '' and surrogate = original").select("place").distinct().withColumn("own", F.lit(True))
-        met = now.join(least, ["kind", "surrogate"], "left").join(taken, ["kind", "surrogate"], "left").join(own, "place", "left")
+        met = now.join(least, ["kind", "surrogate"], "left").join(taken, ["kind", "surrogate"], "left").join(small(own), "place", "left")
         meets = F.coalesce(F.col("taken"), F.lit(False)) | F.coalesce(F.col("original") != F.col("least"), F.lit(False))
         met = met.withColumn("again", F.when(F.col("place").isNull(), meets).otherwise(F.coalesce(F.col("own"), F.lit(False))))
         met = cut(met.select("kind", "original", "place", "draw", "surrogate", "again"))
@@ -317,15 +338,33 @@ def _replace(key: bytes):
             for text, at in zip(b["text"], b["at"]):
                 t, again = text.as_py(), {(r["kind"], r["original"]): r["draw"] for r in at.as_py() or []}
                 out, mine, done = [], [], 0
-                for x, y, kind in detect(t):
-                    v = canonical(kind, t[x:y])
-                    what = (kind, v, again.get((kind, v), 0))
+
+                def new(kind: str, v: str, make=surrogate) -> str:
+                    what = (make, kind, v, again.get((kind, v), 0))
                     if what not in kept:
                         if len(kept) > 100_000:
                             kept.clear()
-                        kept[what] = surrogate(key, *what)
-                    out += [t[done:x], kept[what]]
-                    mine.append({"start": x, "stop": y, "kind": kind, "surrogate": kept[what]})
+                        kept[what] = make(key, *what[1:])
+                    return kept[what]
+
+                found = detect(t)
+                full = [(kind, t[x:y]) for x, y, kind in found if kind.startswith("name/") and re.search("[ -]", t[x:y])]
+                first = {re.split("[ -]", v)[0]: (kind, v) for kind, v in reversed(full)}
+                for _, v in full:
+                    for w in re.split("[ -]", v)[1:]:
+                        first.pop(w, None)
+                for x, y, kind in found:
+                    v = canonical(kind, t[x:y])
+                    if not kind.startswith("name/"):
+                        put = new(kind, v)
+                    elif v in first:
+                        put = new(*first[v], _given)
+                    else:
+                        words = re.split("([ -])", v)
+                        put = new(kind, v, _given) if len(words) > 1 else new("surname", v)
+                        put += "".join(w if w in " -" else new("surname", w) for w in words[1:])
+                    out += [t[done:x], put]
+                    mine.append({"start": x, "stop": y, "kind": kind, "surrogate": put})
                     done = y
                 texts.append("".join([*out, t[done:]]))
                 spans.append(mine)
