@@ -277,3 +277,15 @@ def test_language(spark):
     nothing = language.identify(p, spark.createDataFrame([], "doc_id long, text string, lang string")).collect()
     assert len(nothing) == len(got) and {r.lang for r in nothing} == {None}
     assert language.identify(p.limit(0), d).count() == 0
+
+
+def test_more_than_32_languages(spark):
+    rnd = random.Random(4)
+    names = [f"{a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    vocabulary = {n: ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(6)] for n in names}
+    text = lambda n, k: " ".join(rnd.choice(vocabulary[n]) for _ in range(k))
+    docs = [(i, text(n, 40), n) for i, n in enumerate(names * 3)] + [(900, text("au", 4000) + " x" * 9000, "long")]
+    pages = [(i, f"http://{n}.example.com/", f"<html lang='{n}'><body>{text(n, 40)}</body></html>") for i, n in enumerate(names)]
+    got = language.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), spark.createDataFrame(docs[:-1], "doc_id long, text string, lang string")).collect()
+    assert len(names) == 36 and {r.page_id: r.lang for r in got} == dict(enumerate(names))
+    assert "long" in language._model(spark.createDataFrame(docs, "doc_id long, text string, lang string"))[0]

@@ -7,8 +7,9 @@ summed by declared language, by last label, by domain and by host, so pages with
 prior is smoothed with its domain's, that with its top-level domain's, and that with the whole; a page's own share
 is taken out first.
 
-The text model is fitted on a bounded sample: TRAIN_EACH documents of each of the at most LANGUAGES most frequent
-languages, those with the least hash of doc_id among texts of at most TRAIN_CHARS characters.
+The text model knows every language that a document has. It is fitted on a bounded sample of each: TRAIN_EACH
+documents, those with the least hash of doc_id among texts of at most TRAIN_CHARS characters; longer texts, by their
+beginning, and ones without a doc_id only fill up.
 
 Null or empty pages have no text evidence; null addresses have no host and label, and no declaration is a value of
 its own. Repeated rows count as pages. Without labelled documents lang is null.
@@ -21,12 +22,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import cut, load, mix64, slices
 
-TRAIN_EACH, TRAIN_CHARS, LANGUAGES = 600, 20_000, 32
+TRAIN_EACH, TRAIN_CHARS = 600, 20_000
 #: Hashed character pieces of 1 to 3 characters; how many independent pieces a text counts as at most.
 BUCKETS, MOST_PIECES = 1 << 15, 60.0
 #: Pages that a smoothing prior weighs as much as.
@@ -52,13 +54,12 @@ def pieces(text: str) -> np.ndarray:
     return np.concatenate(out).astype(np.int64)
 
 
-def train(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarray]:
-    """The languages, and the log probability of each piece in each language."""
-    names = sorted(set(langs))
-    counts = np.full((len(names), BUCKETS), 0.05)
-    for t, lang in zip(texts, langs):
-        counts[names.index(lang)] += np.bincount(pieces(t), minlength=BUCKETS)
-    return names, np.log(counts / counts.sum(axis=1, keepdims=True))
+def _count(rows: pd.DataFrame) -> pd.DataFrame:
+    """One language's pieces, as little-endian 64-bit numbers."""
+    counts = np.zeros(BUCKETS, "<i8")
+    for t in rows["text"]:
+        counts += np.bincount(pieces(t), minlength=BUCKETS)
+    return pd.DataFrame({"lang": rows["lang"].iloc[:1], "counts": [counts.tobytes()]})
 
 
 def text_evidence(model: np.ndarray, text: str) -> np.ndarray:
@@ -72,13 +73,17 @@ def text_evidence(model: np.ndarray, text: str) -> np.ndarray:
 
 
 def _model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where(
-        F.col("lang").isNotNull() & (F.length("text") <= TRAIN_CHARS) & F.col("doc_id").isNotNull())
-    usual = [r["lang"] for r in some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    rows = []
-    for lang in usual:
-        rows += some.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(TRAIN_EACH).select("text", "lang").collect()
-    return train([r["text"] for r in rows], [r["lang"] for r in rows]) if rows else ([], np.zeros((0, BUCKETS)))
+    """The languages, and the log probability of each piece in each language."""
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    last = F.col("doc_id").isNull() | (F.length("text") > TRAIN_CHARS)
+    some = some.withColumn("_last", last).withColumn("text", F.substring("text", 1, TRAIN_CHARS))
+    order = Window.partitionBy("lang").orderBy("_last", F.xxhash64("doc_id"), "doc_id", "text")
+    some = some.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= TRAIN_EACH).select("lang", "text")
+    rows = sorted(some.groupBy("lang").applyInPandas(_count, "lang string, counts binary").collect(), key=lambda r: r["lang"])
+    if not rows:
+        return [], np.zeros((0, BUCKETS))
+    counts = 0.05 + np.stack([np.frombuffer(r["counts"], "<i8") for r in rows])
+    return [r["lang"] for r in rows], np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
 def _parse(model: np.ndarray):
