@@ -10,23 +10,31 @@ Conventions for every operator here
 
 from __future__ import annotations
 
+import ctypes
 import os
+import re
 import tempfile
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Most (doc_id, hash) pairs that are sent to every executor, 16 bytes each; with more, the documents are shuffled.
 SMALL_IDS = 1_000_000
 #: Bytes of text that array code handles at once; it bounds the memory of a Python worker, not what is read.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
+#: Bytes of a word from which on it is hashed by xxh3 instead of eight bytes at a time.
+LONG_WORD = 64
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder from spark.checkpoint.dir; a local one only where that is unset."""
+    """The cluster's shared folder from spark.checkpoint.dir; a local one only where that is unset and Spark is local."""
     set_to = spark.conf.get("spark.checkpoint.dir", None)
     if set_to:
         return set_to
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = os.path.join(tempfile.gettempdir(), "checkpoints")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(own)
@@ -39,6 +47,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """run, a function for mapInArrow, giving memory back to the system when it ends: Spark keeps Python workers for later
+    steps, and what their allocators keep would add up."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return of
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -49,6 +75,15 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("th", F.xxhash64("text"))
 
 
+def sampled(rows: DataFrame, key: str, most: int, total: int) -> DataFrame:
+    """The `most` rows with the least hash of key. total: about how many rows there are; so only some more than `most` rows
+    of all partitions are sorted, not `most` of each."""
+    h = F.xxhash64(key)
+    if total > 2 * most:
+        rows = rows.where(h < int(-(1 << 63) + 2 * most / total * (1 << 64)))
+    return rows.orderBy(h, key).limit(most)
+
+
 def null_safe(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
     """Join on (doc_id, th), where a null doc_id equals a null doc_id. right's copies of the keys are dropped."""
     r = right.withColumnsRenamed({"doc_id": "_doc_id", "th": "_th"})
@@ -77,6 +112,19 @@ def slices(sizes: np.ndarray, most: int = SLICE_BYTES) -> list[tuple[int, int]]:
     return out
 
 
+def sliced(texts: Iterable[bytes], most: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts of at most `most` bytes together, and the number of the first; a longer one stands alone, whole."""
+    lo, some, total = 0, [], 0
+    for t in texts:
+        if some and total + len(t) > most:
+            yield lo, some
+            lo, some, total = lo + len(some), [], 0
+        some.append(t)
+        total += len(t)
+    if some:
+        yield lo, some
+
+
 def mix64(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x + np.uint64((0x9E3779B97F4A7C15 * (salt + 1)) & 0xFFFFFFFFFFFFFFFF)
@@ -85,37 +133,44 @@ def mix64(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BASES = (0x9E3779B97F4A7C55, 0xD6E8FEB86659FD93)
-_powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+def _mask(n: np.ndarray) -> np.ndarray:
+    """The low min(n, 8) bytes of a 64-bit number."""
+    return _MASKS[np.minimum(n, 8)]
 
 
-def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    have = _powers.get((base, 0))
-    if have is None or len(have[0]) < n:
-        size = 1 << max(12, (n - 1).bit_length())
-        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        have = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-        _powers[(base, 0)] = have
-    return have[0][:n], have[1][:n]
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
-class Prefix:
-    """Polynomial prefix sums of scrambled symbols: the hash of any stretch in constant time."""
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each place, as a little-endian number. A view: nothing is copied."""
+    return np.ndarray(max(0, len(data) - 7), "<u8", data, 0, (1,))
 
-    def __init__(self, symbols: np.ndarray, which: int = 0):
-        up, self.down = _power(_BASES[which], len(symbols) + 1)
-        self.sums = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * up[:-1], out=self.sums[1:])
 
-    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[stop] - self.sums[start]) * self.down[start] + (stop - start).astype(np.uint64), 7)
+def fold(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of pairs of 64-bit values. Each step scrambles, so no arithmetic between symbols cancels out."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    return x
 
 
-def byte_symbols(which: int = 0) -> np.ndarray:
-    """A 64-bit symbol for each byte value."""
-    return mix64(np.arange(1, 257, dtype=np.uint64), 100 + which)
+def rolled(h: np.ndarray, k: int, unit: int = 1) -> np.ndarray:
+    """The hash of each k values that stand `unit` places apart: pairs are folded, then pairs of pairs, and so on."""
+    out, done, width = None, 0, unit
+    while True:
+        if k & 1:
+            if out is None:
+                out = h
+            else:
+                n = max(0, min(len(out), len(h) - done))
+                out = fold(out[:n], h[done : done + n])
+            done += width
+        k >>= 1
+        if not k:
+            return out
+        h = fold(h[: max(0, len(h) - width)], h[width:])
+        width *= 2
 
 
 #: The white space that parts words in the contracts on words, 0x20 and 0x09 to 0x0D.
@@ -126,19 +181,43 @@ SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 def word_bounds(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of concatenated texts, each followed by a white-space byte; ends: the place after that byte.
     Start and stop of each word, and how many words lie before each text (one more entry than texts)."""
-    gap = SPACE[data]
+    gap = SPACE[data[: int(ends[-1]) if len(ends) else 0]]
     edge = np.diff(gap.astype(np.int8), prepend=np.int8(1))
     start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if len(data) and len(stop) and stop[0] == 0:
+    if len(stop) and stop[0] == 0:
         stop = stop[1:]
     return start, stop, np.concatenate([[0], np.searchsorted(start, ends)])
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray, which: int = 0) -> np.ndarray:
-    return Prefix(byte_symbols(which)[data], which).of(start, stop)
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, eight bytes at a time; data has eight bytes or more after the last word."""
+    at, n = lanes(data), stop - start
+    h = mix64(n.astype(np.uint64), 100)
+    short = np.flatnonzero((n > 0) & (n <= LONG_WORD))
+    done = 0
+    while len(short):
+        h[short] = mix64(h[short] ^ (at[start[short] + done] & _mask(n[short] - done)), 101)
+        done += 8
+        short = short[n[short] > done]
+    if len(long := np.flatnonzero(n > LONG_WORD)):
+        import xxhash
+
+        view = memoryview(data)
+        h[long] = [xxhash.xxh3_64_intdigest(view[a:b], 17) for a, b in zip(start[long].tolist(), stop[long].tolist())]
+    return h
+
+
+def digests(data: memoryview | bytes, starts: list[int], stops: list[int], marks: list[int]) -> np.ndarray:
+    """Two 64-bit halves of a cryptographic digest of each stretch of bytes with its mark: what decides that stretches are
+    equal. Two different ones among 10**12 have one digest with a chance under 10**-14."""
+    from hashlib import blake2b
+
+    view = memoryview(data)
+    out = b"".join(blake2b(view[a:b], digest_size=16, salt=m.to_bytes(4, "little")).digest() for a, b, m in zip(starts, stops, marks))
+    return np.frombuffer(out, "<i8").reshape(-1, 2)
 
 
 def joined(texts: list[bytes], gap: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:
-    """The texts one after another, each followed by gap; where each ends, its gap included."""
-    data = np.frombuffer(gap.join([*texts, b""]), np.uint8)
+    """The texts one after another, each followed by gap, and eight zero bytes; where each ends, its gap included."""
+    data = np.frombuffer(gap.join([*texts, b""]) + bytes(8), np.uint8)
     return data, np.cumsum([len(t) + len(gap) for t in texts], dtype=np.int64)

@@ -3,94 +3,71 @@
 First pass: each partition counts the anchors (see runs.py) of its windows in a count-min sketch; the sketches are
 merged. A window's anchor occurs at least as often as the window, so the merged counts never fall short of a
 window's count. Second pass: only runs of windows estimated to be repeated leave the executors, and are grouped
-exactly: runs with equal contexts share the smallest doc_id; where one anchor has several contexts, their windows
-are grouped one by one. Whatever the sketch lets through by mistake is found unique there, so no result depends
-on its size.
+exactly, by a cryptographic digest of their words: runs with equal contexts share the smallest doc_id; where one anchor
+has several contexts, their windows are grouped one by one. Whatever the sketch lets through by mistake is found unique
+there, so no result depends on its size.
 
 Nulls and texts under `size` words have no windows. Rows without a doc_id come before and after no document: they
-take nothing and give nothing. Repeated rows have one doc_id, so they don't remove each other.
+take nothing and give nothing. Repeated rows have one doc_id, so they don't remove each other. A text of any length is
+handled whole; words of any length are hashed whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Prefix, joined, keyed, load, mix64, slices, word_bounds, word_hashes
-from .runs import bits_for, discard, merged, packed, per_document, repeated_anchors, runs, seen_again, stored, unpacked
+from .common import cut, digests, frugal, joined, keyed, load, rolled, sliced, word_bounds, word_hashes
+from .runs import Parts, bits_for, discard, packed, per_document, repeated_runs, span_array, span_lists, stored, unpacked
 
 ANCHOR = 6
 
 
-def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of each word, and the words before each text."""
-    data, ends = joined(texts)
+def word_parts(texts: list[bytes]) -> Parts:
+    """The texts' words as symbols; one space parts them, so equal sequences have equal bytes."""
+    data, ends = joined([b" ".join(t.split()) for t in texts])
     start, stop, first = word_bounds(data, ends)
-    return word_hashes(data, start, stop, 0), word_hashes(data, start, stop, 1), first
-
-
-def _each_runs(texts: pa.Array, size: int) -> Iterator[tuple]:
-    """Of slices of the texts: the first one's number, two hashes of each word, the words before each text, runs."""
-    for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
-        w0, w1, first = _words([t.as_py() for t in texts[lo:hi]])
-        yield lo, w0, w1, first, runs(w0, first, size, ANCHOR)
-
-
-def _candidates(size: int, sketch, bits: int):
-    """Runs whose windows are estimated to be repeated: doc_id, tag, place (first window and number of windows in one
-    number), anchor hash, context hash (of 96 bits)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo, w0, w1, first, found in _each_runs(b["text"].cast(pa.binary()), size):
-                often = seen_again(found[4], sketch.value, bits)
-                row, at, n, off, h = (x[often] for x in found)
-                c = [mix64(Prefix(w, i).of(at, at + n + size - 1) + off.astype(np.uint64)).view(np.int64) for i, w in enumerate((w0, w1))]
-                take = pa.array(row + lo)
-                yield pa.record_batch([b["doc_id"].take(take), b["tag"].take(take), pa.array((at - first[row] << 16) + n), pa.array(h.view(np.int64)),
-                                       pa.array(c[0]), pa.array(c[1].astype(np.int32))], names=["doc_id", "tag", "place", "h", "c1", "c2"])
-
-    return run
+    h = word_hashes(data, start, stop)
+    return Parts(data, first, lambda a, b: rolled(h[a:b], ANCHOR), start, stop)
 
 
 def _windows(size: int):
-    """Of documents with lists of runs: each window's hashes, its context and its place in the run."""
+    """Of documents with lists of runs: each window's digest, its context and its place in the run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = unpacked(b)
-            for lo, hi in slices(np.array([len(t) for t in texts])):
-                w0, w1, first = _words(texts[lo:hi])
-                lists = b["at"][lo:hi]
-                flat, row = lists.flatten(), np.repeat(np.arange(hi - lo), lists.value_lengths().to_numpy(zero_copy_only=False))
+            for lo, texts in sliced(unpacked(b)):
+                p, lists = word_parts(texts), b["at"][lo : lo + len(texts)]
+                flat, row = lists.flatten(), np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy(zero_copy_only=False))
                 c1, c2, place = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-                least = b["doc_id"][lo:hi].to_numpy(zero_copy_only=False)[row]
-                at, n = place >> 16, place & 0xFFFF
+                least = b["doc_id"][lo : lo + len(texts)].to_numpy(zero_copy_only=False)[row]
+                at, n = place >> 32, (place >> 16) & 0xFFFF
                 each = np.repeat(np.arange(len(at)), n)
                 j = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                p = first[row[each]] + at[each] + j
-                yield pa.record_batch([pa.array(Prefix(w, i).of(p, p + size).view(np.int64)) for i, w in enumerate((w0, w1))]
-                                      + [pa.array(c1[each]), pa.array(c2[each]), pa.array(j.astype(np.int32)), pa.array(least[each])], names=["w1", "w2", "c1", "c2", "j", "least"])
+                w = digests(p.data, *p.bounds(p.first[row[each]] + at[each] + j, np.int64(size)), [0] * len(each))
+                yield pa.record_batch([pa.array(w[:, 0]), pa.array(w[:, 1]), pa.array(c1[each]), pa.array(c2[each]), pa.array(j.astype(np.int32)), pa.array(least[each])],
+                                      names=["w1", "w2", "c1", "c2", "j", "least"])
 
     return run
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows: list[tuple] = []
-        for t, at in zip(unpacked(b), b["at"]):
+        counts, spans, kept = [], [], []
+        for t, (x, y) in zip(unpacked(b), span_lists(b)):
             words = t.split()
-            spans = merged([(s["start"], s["stop"]) for s in at.as_py() or []])
-            n = len(words)
-            for x, y in reversed(spans):
-                del words[x:y]
-            rows.append((n, n - len(words), [{"start": x, "stop": y} for x, y in spans], b" ".join(words)))
-        span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), span, pa.binary()))]
-        yield pa.record_batch([b["id"], b["th"], *cols], names=["doc_id", "th", "n_words", "n_removed", "spans", "kept"])
+            left = np.ones(len(words), bool)
+            for i, j in zip(x.tolist(), y.tolist()):
+                left[i:j] = False
+            counts.append((len(words), len(words) - int(left.sum())))
+            spans.append((x, y))
+            kept.append(b" ".join(compress(words, left.tolist())))
+        n = [pa.array([c[i] for c in counts], pa.int64()) for i in (0, 1)]
+        yield pa.record_batch([b["id"], b["th"], *n, span_array(spans), pa.array(kept, pa.binary())], names=["doc_id", "th", "n_words", "n_removed", "spans", "kept"])
 
 
 def remove_later_windows(docs: DataFrame, size: int = 13) -> DataFrame:
@@ -100,26 +77,24 @@ def remove_later_windows(docs: DataFrame, size: int = 13) -> DataFrame:
         raise ValueError(f"size must be over {ANCHOR} and under {1 << 15}")
     d = keyed(docs)
     length = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = bits_for(length // 24)
-    sketch = repeated_anchors(d, lambda texts: (found[4] for *_, found in _each_runs(texts, size)), bits)
-    find = _candidates(size, d.sparkSession.sparkContext.broadcast(sketch), bits)
-    known = d.where("doc_id is not null").select("doc_id", F.shiftright("th", 32).cast("int").alias("tag"), "text")
-    found = stored(known.mapInArrow(find, "doc_id long, tag int, place long, h long, c1 long, c2 int"))
+    rows = d.select("doc_id", F.shiftright("th", 32).cast("int").alias("tag"), "text")
+    found = repeated_runs(rows, word_parts, size, ANCHOR, bits_for(length // 24), rows.where("doc_id is not null"))
     kinds = stored(found.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "tag", "place", "h")).alias("r"), F.max("doc_id").alias("last")).select("c1", "c2", "r.*", "last"))
-    anchors = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h")
+    anchors = cut(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("h"))  # stored, so that the join can split a hot one
     mixed = kinds.join(anchors, "h").select("doc_id", "tag", "c1", "c2", "place")
     texts = packed(d)
     windows = stored(texts.join(per_document(mixed, ["c1", "c2", "place"]), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select("doc_id", "z", "at").mapInArrow(
-        _windows(size), "w1 long, w2 long, c1 long, c2 int, j int, least long"))
+        frugal(_windows(size)), "w1 long, w2 long, c1 long, c2 long, j int, least long"))
     earlier = windows.groupBy("w1", "w2").agg(F.min("least").alias("first"), F.max("least").alias("end")).where("first < end").select("w1", "w2", "first")
     # a window that an earlier document has in another context; those of the context's own documents come with `whole`
     each = stored(windows.join(earlier, ["w1", "w2"]).where("first < least").select("c1", "c2", F.col("j").alias("j0"), F.col("j").alias("j1"), F.col("first").alias("least")))
     discard(windows)
-    whole = kinds.where("last > doc_id").select("c1", "c2", F.lit(0).alias("j0"), (F.col("place").bitwiseAND(0xFFFF) - 1).cast("int").alias("j1"), F.col("doc_id").alias("least"))
-    spans = found.select("doc_id", "tag", F.shiftright("place", 16).alias("lo"), "c1", "c2").join(whole.unionAll(each), ["c1", "c2"]).where("least < doc_id").select(
+    n = F.shiftright("place", 16).bitwiseAND(0xFFFF)
+    whole = kinds.where("last > doc_id").select("c1", "c2", F.lit(0).alias("j0"), (n - 1).cast("int").alias("j1"), F.col("doc_id").alias("least"))
+    spans = found.select("doc_id", "tag", F.shiftright("place", 32).alias("lo"), "c1", "c2").join(whole.unionAll(each), ["c1", "c2"]).where("least < doc_id").select(
         "doc_id", "tag", (F.col("lo") + F.col("j0")).cast("int").alias("start"), (F.col("lo") + F.col("j1") + size).cast("int").alias("stop"))
     return texts.join(per_document(spans, ["start", "stop"]), ["doc_id", "tag"], "left").mapInArrow(
-        _strip, "doc_id long, th long, n_words long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary")
+        frugal(_strip), "doc_id long, th long, n_words long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary")
 
 
 def op6_repeats(spark, sf_dir: str) -> DataFrame:

@@ -1,13 +1,20 @@
 """Removal of long repeated byte strings by sorting suffixes, deep-shallow.
 
 A sparse suffix array does: only the suffixes that begin at anchors (see runs.py) are sorted, since every window
-of `size` bytes holds its anchor, and of those only the ones that a merged count-min sketch doesn't rule out. Runs with
-equal contexts count as one context with a number of occurrences. The contexts of an anchor are sorted by the
-suffixes that begin at it and, backwards, by what stands before it: multikey quicksort to a shallow depth, then
-blind tries order the groups with long common prefixes. Their common prefixes give, for each context, the windows
-that stand in another one too.
-
-Nulls and texts shorter than `size` bytes have no windows and stay whole. A repeated row is one more occurrence.
+of `size` bytes holds its anchor, and of those only the ones that a merged count-min sketch doesn't rule out. Copies of
+one context are counted before anything is shuffled and sorted as one key with a number of copies. The contexts of an
+anchor are sorted by the suffixes that begin at it and, backwards, by what stands before it: multikey quicksort to a
+shallow depth, then blind tries order the groups with long common prefixes. What decides each repeat is the order: a key
+with copies has all its windows again, and common prefixes, compared byte by byte, give the windows that stand in
+another context too.
+
+A window reaches some bytes beyond its anchor and the rest before it. An anchor with more than GROUP contexts is sorted in
+parts. All windows within what its contexts have in common, on both sides, are repeated. The others reach farther on one
+side, and are looked for among contexts that have the next bytes on that side too; each such part is smaller, and is parted
+again until it can be sorted.
+
+Nulls and texts shorter than `size` bytes have no windows and stay whole. A repeated row is one more occurrence. A text of
+any length is handled whole.
 """
 
 from __future__ import annotations
@@ -19,13 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_symbols, joined, keyed, load, slices
-from .runs import bits_for, discard, merged, packed, per_document, repeated_anchors, runs, seen_again, stored, unpacked
+from .common import SMALL_IDS, cut, frugal, joined, keyed, lanes, load, rolled
+from .runs import Parts, bits_for, discard, packed, per_document, repeated_runs, span_array, span_lists, stored, unpacked
 
-#: Bytes of an anchor; bytes that multikey quicksort compares before blind tries take over.
+#: Bytes of an anchor (a multiple of eight); bytes that multikey quicksort compares before blind tries take over.
 ANCHOR, SHALLOW = 40, 16
-#: Contexts of one anchor that one task sorts. Those of more frequent anchors are grouped window by window.
-GROUP = 20_000
+#: Contexts that are sorted together at most; those of more frequent anchors are sorted in parts.
+GROUP = 1_000
 
 
 def lcp(a: bytes, b: bytes) -> int:
@@ -104,24 +111,27 @@ def deep_shallow(strings: list[bytes], shallow: int = SHALLOW) -> list[int]:
     return out
 
 
-def shared_windows(contexts: list[tuple[bytes, int]], size: int) -> list[list[tuple[int, int]]]:
-    """contexts: different (bytes, place of the anchor) with one anchor. For each the (first, last) windows, by
-    where they begin, that stand in another of them too."""
+def shared_windows(contexts: list[tuple[bytes, int, int]], size: int) -> list[list[tuple[int, int]]]:
+    """contexts: different (bytes, place of the anchor, copies) with one anchor. For each the (first, last) windows, by
+    where they begin, that stand in another context or copy too."""
     found: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    right, left = [c[at:] for c, at in contexts], [c[:at][::-1] for c, at in contexts]
+    right, left = [c[at:] for c, at, _ in contexts], [c[:at][::-1] for c, at, _ in contexts]
 
     def note(i: int, before: int, after: int) -> None:
-        text, at = contexts[i]
+        text, at, _ = contexts[i]
         lo, hi = max(size - after, at + size - len(text), 0), min(before, at)
         if lo <= hi:
             found[i].append((at - hi, at - lo))
 
+    order = deep_shallow(right)
+    for i in order:
+        if contexts[i][2] > 1:
+            note(i, len(left[i]), len(right[i]))
     if len(contexts) == 2:
         a, b = lcp(left[0], left[1]), lcp(right[0], right[1])
         note(0, a, b)
         note(1, a, b)
         return found
-    order = deep_shallow(right)
     rank = {i: r for r, i in enumerate(deep_shallow(left))}
     common = [lcp(right[i], right[j]) for i, j in zip(order, order[1:])]
     # the nodes of the suffix tree: stretches of the order with a common prefix that no wider stretch has
@@ -139,67 +149,58 @@ def shared_windows(contexts: list[tuple[bytes, int]], size: int) -> list[list[tu
     return found
 
 
-def _each_runs(texts: pa.Array, size: int) -> Iterator[tuple]:
-    """Of slices of the texts: the first one's number, their bytes, where each begins, and their runs."""
-    symbol = byte_symbols()
-    for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
-        data, ends = joined([t.as_py() for t in texts[lo:hi]], b"")
-        first = np.concatenate([[0], ends])
-        yield lo, data, first, runs(symbol[data], first, size, ANCHOR)
-
-
-def _runs_of(size: int, sketch, bits: int):
-    """Runs whose anchor is estimated to occur again: doc_id, tag, place (first window, windows and the anchor's
-    place in one number), anchor hash, context hash (of 96 bits)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for b in batches:
-            for lo, data, first, found in _each_runs(b["text"].cast(pa.binary()), size):
-                often = seen_again(found[4], sketch.value, bits)
-                row, at, n, off, h = (x[often] for x in found)
-                view = memoryview(data)
-                dig = [xxhash.xxh3_128_digest(view[x:y], s) for x, y, s in zip(at.tolist(), (at + n + size - 1).tolist(), off.tolist())]
-                c = np.frombuffer(b"".join(dig), "<i8").reshape(-1, 2)
-                take = pa.array(row + lo)
-                yield pa.record_batch([b["doc_id"].take(take), b["tag"].take(take), pa.array((at - first[row] << 32) + (n << 16) + off),
-                                       pa.array(h.view(np.int64)), pa.array(c[:, 0]), pa.array(c[:, 1].astype(np.int32))], names=["doc_id", "tag", "place", "h", "c1", "c2"])
-
-    return run
+def byte_parts(texts: list[bytes]) -> Parts:
+    """The texts' bytes as symbols."""
+    data, ends = joined(texts, b"")
+    eight = lanes(data)
+    return Parts(data, np.concatenate([[0], ends]), lambda a, b: rolled(eight[a : b - 7], ANCHOR // 8, 8))
 
 
 def _contexts(size: int):
-    """Of documents with lists of runs: the runs' bytes."""
+    """Of documents with lists of contexts: the contexts' bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple] = []
-            for t, at in zip(unpacked(b), b["at"]):
-                for r in at.as_py():
-                    lo, n, off = r["place"] >> 32, (r["place"] >> 16) & 0xFFFF, r["place"] & 0xFFFF
-                    rows.append((r["h"], r["c1"], r["c2"], off, t[lo : lo + n + size - 1], r["many"]))
-            yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()))],
-                                  names=["h", "c1", "c2", "off", "text", "many"])
+            flat, sizes = b["at"].flatten(), b["at"].value_lengths().to_numpy(zero_copy_only=False)
+            place, out, done = flat.field(3).to_numpy(zero_copy_only=False), [], 0
+            for t, m in zip(unpacked(b), sizes.tolist()):
+                for x in place[done : done + m].tolist():
+                    lo = x >> 32
+                    out.append(t[lo : lo + ((x >> 16) & 0xFFFF) + size - 1])
+                done += m
+            yield pa.record_batch([*(flat.field(i) for i in range(3)), pa.array((place & 0xFFFF).astype(np.int32)), flat.field(4), pa.array(out, pa.binary())],
+                                  names=["h", "c1", "c2", "off", "copies", "text"])
 
     return run
 
 
 def _sorted_groups(size: int):
-    """Of contexts sorted by anchor: c1, c2, first, last of the windows that another context has too."""
+    """Of contexts sorted by group g: c1, c2, first, last of the windows that reach lo bytes or more, but not hi, beyond the
+    anchor and that another context or copy has too."""
     def emit(group: list[tuple]) -> list[tuple]:
-        found = shared_windows([(g[3], g[2]) for g in group], size)
-        return [(g[0], g[1], a, b) for g, spans in zip(group, found) for a, b in set(spans)]
+        out = []
+        for (c1, c2, off, _, _, lo, hi), spans in zip(group, shared_windows([(g[4], g[2], g[3]) for g in group], size)):
+            reach = size - ANCHOR - off  # of window 0
+            spans = sorted((max(a, lo - reach), min(b, hi - 1 - reach)) for a, b in set(spans))
+            mine: list[tuple[int, int]] = []
+            for a, b in spans:
+                if mine and a <= mine[-1][1] + 1:
+                    mine[-1] = (mine[-1][0], max(b, mine[-1][1]))
+                elif a <= b:
+                    mine.append((a, b))
+            out += [(c1, c2, a, b) for a, b in mine]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, at, rows = [], None, []
 
         def batch() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["c1", "c2", "j0", "j1"])
+            return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["c1", "c2", "j0", "j1"])
 
         for b in batches:
-            for h, *rest in zip(*(b[c].to_pylist() for c in ("h", "c1", "c2", "off", "text"))):
-                if h != at:
+            for g, h, *rest in zip(*(b[c].to_pylist() for c in ("g", "h", "c1", "c2", "off", "copies", "text", "lo", "hi"))):
+                if (g, h) != at:
                     rows += emit(group) if group else []
-                    group, at = [], h
+                    group, at = [], (g, h)
                 group.append(tuple(rest))
             yield batch()
             rows.clear()
@@ -209,51 +210,80 @@ def _sorted_groups(size: int):
     return run
 
 
-def _each_window(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for b in batches:
-            for c1, c2, text in zip(*(b[c].to_pylist() for c in ("c1", "c2", "text"))):
-                n = len(text) - size + 1
-                dig = np.frombuffer(b"".join(xxhash.xxh3_128_digest(text[j : j + size]) for j in range(n)), "<i8").reshape(-1, 2)
-                yield pa.record_batch([pa.array(dig[:, 0]), pa.array(dig[:, 1]), pa.array(np.full(n, c1)), pa.array(np.full(n, c2, np.int32)), pa.array(np.arange(n, dtype=np.int32))], names=["w1", "w2", "c1", "c2", "j"])
-
-    return run
+def _in_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of groups with their least and largest of what follows the anchor, and of what precedes it as reversed hexadecimal
+    digits: how many bytes all of the group have in common, after the anchor and before it."""
+    for b in batches:
+        rows = list(zip(*(b[c].to_pylist() for c in ("a0", "a1", "b0", "b1"))))
+        yield pa.record_batch([b["h"], b["g"], pa.array([lcp(r[0], r[1]) for r in rows], pa.int32()), pa.array([lcp(r[2].encode(), r[3].encode()) // 2 for r in rows], pa.int32())],
+                              names=["h", "g", "after", "before"])
+
+
+def _parted(some: DataFrame, size: int) -> tuple[DataFrame, DataFrame | None]:
+    """some: contexts h, c1, c2, off, copies, text. The same with a group g, of GROUP contexts at most, and the reach lo to
+    hi of the windows that are looked for in it; and, as c1, c2, j0, j1, windows that all contexts of a larger group have."""
+    most = size - ANCHOR  # a window's reach is 0 to most
+    now = some.withColumns({"lo": F.lit(0), "hi": F.lit(most + 1), "g": F.lit("")})
+    small, same = [], []
+    while True:
+        many = cut(now.groupBy("h", "g").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > GROUP).select("h", "g"))
+        n = many.count()
+        if not n:
+            return _all([*small, now]), _all(same)
+        send = F.broadcast if n <= SMALL_IDS else lambda df: df
+        small.append(now.join(send(many), ["h", "g"], "left_anti"))
+        hot = cut(now.join(send(many), ["h", "g"], "left_semi"))
+        after, before = F.col("text").substr(F.col("off") + ANCHOR + 1, F.length("text")), F.reverse(F.hex(F.col("text").substr(F.lit(1), F.col("off"))))
+        ends = hot.groupBy("h", "g").agg(F.min(after).alias("a0"), F.max(after).alias("a1"), F.min(before).alias("b0"), F.max(before).alias("b1"))
+        ends = cut(ends.mapInArrow(_in_common, "h long, g string, after int, before int"))
+        hot = hot.join(send(ends), ["h", "g"]).drop("g")
+        # windows within what all have in common are repeated; the others reach beyond it on one side, where the group parts
+        every = F.col("after") + F.col("before") >= most
+        shared = hot.where(every).select("c1", "c2", "off", F.greatest("lo", most - F.col("before")).alias("r0"), F.least(F.col("hi") - 1, "after").alias("r1")).where("r0 <= r1")
+        same.append(shared.select("c1", "c2", *((F.col(r) - (most - F.col("off"))).cast("int").alias(j) for r, j in (("r0", "j0"), ("r1", "j1")))))
+        middle = F.expr(f"cast((after + 1 + {most} - before) div 2 as int)")
+        low, high = F.when(every, most - F.col("before")).otherwise(middle), F.when(every, F.col("after") + 1).otherwise(middle)
+        sides = F.explode(F.array(F.struct(F.col("lo").alias("lo"), F.least("hi", low).alias("hi")), F.struct(F.greatest("lo", high).alias("lo"), F.col("hi").alias("hi"))))
+        split = hot.withColumn("r", sides).drop("lo", "hi", "after", "before").select("*", "r.*").drop("r").where("lo < hi")
+        need = most - F.col("hi") + 1  # bytes before the anchor that each of these windows has; after it they have lo
+        split = split.where((F.length("text") - F.col("off") - ANCHOR >= F.col("lo")) & (F.col("off") >= need))
+        common = F.col("text").substr(F.col("off") - need + 1, need + ANCHOR + F.col("lo"))
+        now = cut(split.withColumn("g", F.concat_ws(":", "lo", "hi", F.sha2(common, 256))))
+
+
+def _all(frames: list[DataFrame]) -> DataFrame | None:
+    out = None
+    for f in frames:
+        out = f if out is None else out.unionByName(f)
+    return out
 
 
 def _repeated(spread: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """c1, c2, j0, j1: the windows j0 to j1 of the runs with that context stand somewhere else too."""
-    kinds = stored(spread.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("count"), F.min(F.struct("doc_id", "tag", "place", "h")).alias("r")).select("c1", "c2", "count", "r.*"))
-    anchors = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    whole = kinds.where("count > 1").select("c1", "c2", F.lit(0).alias("j0"), (F.shiftright("place", 16).bitwiseAND(0xFFFF) - 1).cast("int").alias("j1"))
-    mixed = kinds.join(anchors, "h").select("h", "c1", "c2", (F.col("m") > GROUP).alias("many"), "doc_id", "tag", "place")
-    lists = per_document(mixed, ["h", "c1", "c2", "place", "many"])
-    found = stored(texts.join(lists, ["doc_id", "tag"]).select("z", "at").mapInArrow(_contexts(size), "h long, c1 long, c2 int, off int, text binary, many boolean"))
-    some = found.where("not many").select("h", "c1", "c2", "off", "text").repartition("h").sortWithinPartitions("h")
-    part = some.mapInArrow(_sorted_groups(size), "c1 long, c2 int, j0 int, j1 int")
-    windows = found.where("many").select("c1", "c2", "text").mapInArrow(_each_window(size), "w1 long, w2 long, c1 long, c2 int, j int")
-    twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("w1", "w2")
-    each = windows.join(twice, ["w1", "w2"]).select("c1", "c2", F.col("j").alias("j0"), F.col("j").alias("j1"))
-    out = stored(whole.unionAll(part).unionAll(each))
-    discard(found)
-    discard(kinds)
+    kinds = spread.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "tag", "place", "h")).alias("r")).select("c1", "c2", "copies", "r.*")
+    kinds = stored(kinds)
+    anchors = cut(kinds.groupBy("h").agg(F.sum("copies").alias("m")).where("m > 1").select("h"))  # stored, so that the join can split a hot one
+    lists = per_document(kinds.join(anchors, "h"), ["h", "c1", "c2", "place", "copies"])
+    one = texts.join(lists, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select("z", "at")  # a repeated row has its contexts once
+    found = stored(one.mapInArrow(frugal(_contexts(size)), "h long, c1 long, c2 long, off int, copies long, text binary"))
+    parts, same = _parted(found, size)
+    out = parts.repartition("h", "g").sortWithinPartitions("h", "g").select("g", "h", "c1", "c2", "off", "copies", "text", "lo", "hi").mapInArrow(
+        frugal(_sorted_groups(size)), "c1 long, c2 long, j0 int, j1 int")
+    out = stored(out if same is None else out.unionByName(same))
+    discard(found, kinds)
     return out
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows: list[tuple] = []
-        for t, at in zip(unpacked(b), b["at"]):
-            spans, kept, done = merged([(s["start"], s["stop"]) for s in at.as_py() or []]), [], 0
-            for x, y in spans:
-                kept.append(t[done:x])
-                done = y
-            kept.append(t[done:])
-            rows.append((len(t), sum(y - x for x, y in spans), [{"start": x, "stop": y} for x, y in spans], b"".join(kept)))
-        span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), span, pa.binary()))]
-        yield pa.record_batch([b["id"], b["th"], *cols], names=["doc_id", "th", "n_bytes", "n_removed", "spans", "kept"])
+        counts, spans, texts = [], [], []
+        for t, (x, y) in zip(unpacked(b), span_lists(b)):
+            edges = [0, *np.stack([x, y], 1).ravel().tolist(), len(t)]
+            counts.append((len(t), int((y - x).sum())))
+            spans.append((x, y))
+            texts.append(b"".join(t[i:j] for i, j in zip(edges[::2], edges[1::2])))
+        n = [pa.array([c[i] for c in counts], pa.int64()) for i in (0, 1)]
+        yield pa.record_batch([b["id"], b["th"], *n, span_array(spans), pa.array(texts, pa.binary())], names=["doc_id", "th", "n_bytes", "n_removed", "spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
@@ -264,17 +294,14 @@ def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
         raise ValueError(f"size must be over {ANCHOR} and under {1 << 15}")
     d = keyed(docs)
     length = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = bits_for(2 * length // (size - ANCHOR + 2))
-    sketch = repeated_anchors(d, lambda texts: (found[4] for *_, found in _each_runs(texts, size)), bits)
-    find = _runs_of(size, d.sparkSession.sparkContext.broadcast(sketch), bits)
     rows = d.select(F.coalesce("doc_id", "th").alias("doc_id"), F.shiftright("th", 32).cast("int").alias("tag"), "text")
-    spread = stored(rows.mapInArrow(find, "doc_id long, tag int, place long, h long, c1 long, c2 int"))
+    spread = repeated_runs(rows, byte_parts, size, ANCHOR, bits_for(2 * length // (size - ANCHOR + 2)))
     texts = packed(d)
     repeated = _repeated(spread, texts, size)
     spans = spread.select("doc_id", "tag", F.shiftright("place", 32).alias("lo"), "c1", "c2").join(repeated, ["c1", "c2"]).select(
         "doc_id", "tag", (F.col("lo") + F.col("j0")).cast("int").alias("start"), (F.col("lo") + F.col("j1") + size).cast("int").alias("stop"))
     return texts.join(per_document(spans, ["start", "stop"]), ["doc_id", "tag"], "left").mapInArrow(
-        _strip, "doc_id long, th long, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary")
+        frugal(_strip), "doc_id long, th long, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary")
 
 
 def op2_suffixes(spark, sf_dir: str) -> DataFrame:
@@ -290,8 +317,8 @@ def brute_force(texts: list[bytes], size: int) -> list[tuple[int, int, int, str]
             seen[t[p : p + size]] = seen.get(t[p : p + size], 0) + 1
     out = []
     for t in texts:
-        spans = merged([(p, p + size) for p in range(len(t) - size + 1) if seen[t[p : p + size]] > 1])
-        gone = set().union(*(range(a, b) for a, b in spans))
+        gone = set().union(*(range(p, p + size) for p in range(len(t) - size + 1) if seen[t[p : p + size]] > 1))
+        spans = [i for i in gone if i - 1 not in gone]
         kept = bytes(c for i, c in enumerate(t) if i not in gone)
         out.append((len(t), len(gone), len(spans), hashlib.sha256(kept).hexdigest()))
     return out
