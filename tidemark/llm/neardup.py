@@ -4,38 +4,53 @@
 2. Texts with equal sets are one class, represented by its smallest doc_id, so copies never meet as pairs.
 3. In each band bucket every class is paired with the bucket's smallest one; pairs whose signatures agree well
    enough are confirmed on full sets, and links become components by large-star and small-star steps.
-4. All classes that were paired with one smallest class, its members, may still be in several components. They are
-   compared with each other in blocks of bounded size, first by signature, which leaves few members, then on full
-   sets. No pairs leave a block, only links that join components. The components of all links are the result.
+4. All classes that were paired with one smallest class, its members, may still be in several components. Those outside
+   the most frequent one are compared with all, in blocks of bounded size that are dealt over all tasks, first by
+   signature, which leaves few members, then on full sets. No pairs leave a block, only links that join components. The
+   components of all links are the result.
 
 After step 4 each two classes that share a bucket are in one component or were compared, so no link is lost but
-those that banding misses: at the least similarity 0.85, all of 20 bands of 5 miss a pair once in 100,000 times.
+those that banding misses: there are as many bands as keep that under MISS, once in 100,000 times at the least similarity.
+
+Shingles are 64-bit hashes of their words. Two different ones of a pair of sets of 10,000 meet with a chance of
+10**8 / 2**64, 5 in 10**12, and that shifts a similarity by one shingle; classes have equal 128-bit hashes of all.
 
 Nulls: a null or wordless text has no shingles and links with nothing. Rows without a doc_id take no part; their
-component is null and they are kept. Repeated rows share a class.
+component is null and they are kept. Repeated rows share a class. Texts of any length are hashed whole.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SMALL_IDS, cut, joined, keyed, load, mix64, slices, without, word_bounds, word_hashes
+from .common import SMALL_IDS, cut, frugal, joined, keyed, load, mix64, rolled, sliced, without, word_bounds, word_hashes
 from .components import components
 
-BANDS, ROWS = 20, 5
+#: Minima of a band, and how often all bands may miss a pair at the least similarity.
+ROWS, MISS = 5, 1e-5
 #: Members of a block, about.
-BLOCK = 512
+BLOCK = 128
 #: Pairs whose signatures agree this much less than asked are still confirmed on full sets: over four standard errors.
 SLACK = 0.16
 
-_RNG = np.random.default_rng(20240607)
-_A = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+def bands_for(share: int) -> int:
+    """The least number of bands that miss a pair with this similarity (in hundredths) at most MISS of the time."""
+    same = (share / 100) ** ROWS
+    return 1 if same >= 1 else math.ceil(math.log(MISS) / math.log1p(-same))
+
+
+@lru_cache
+def _universal(n: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20240607)
+    return rng.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
 
 
 def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,43 +59,40 @@ def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     data, ends = joined([t.lower() for t in texts])
     start, stop, first = word_bounds(data, ends)
     w = word_hashes(data, start, stop)
-    rolled = np.zeros(max(0, len(w) - k + 1), np.uint64)
-    for j in range(k):
-        rolled += mix64(w[j : j + len(rolled)], j + 1)
-    rolled = mix64(rolled)
+    shingles = mix64(rolled(w, k)) if len(w) >= k else np.zeros(0, np.uint64)
     sets = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= k:
-            sets.append(np.unique(rolled[a : b - k + 1]))
+            sets.append(np.unique(shingles[a : b - k + 1]))
         elif b > a:
-            short = sum((mix64(w[a + j : a + j + 1], j + 1) for j in range(b - a)), np.uint64(b - a))
-            sets.append(mix64(short, 3))
+            sets.append(mix64(rolled(w[a:b], b - a), b - a))
         else:
             sets.append(np.zeros(0, np.uint64))
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), np.array([len(s) for s in sets], np.int64)
 
 
-def signatures(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def signatures(values: np.ndarray, counts: np.ndarray, minima: int) -> np.ndarray:
     """The least of each universal hash over each set; a row for each set that isn't empty."""
     starts = (np.cumsum(counts) - counts)[counts > 0]
-    out = np.zeros((len(starts), BANDS * ROWS), np.uint32)
+    out = np.zeros((len(starts), minima), np.uint32)
     if len(starts):
-        for k in range(BANDS * ROWS):
-            out[:, k] = np.minimum.reduceat((values * _A[k] + _B[k]) >> np.uint64(32), starts)
+        for k, (a, b) in enumerate(zip(*_universal(minima))):
+            out[:, k] = np.minimum.reduceat((values * a + b) >> np.uint64(32), starts)
     return out
 
 
-def _sketch(k: int):
+def _sketch(k: int, n_bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in batches:
             texts = b["text"].cast(pa.binary())
-            for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
-                values, counts = shingle_sets([t.as_py() for t in texts[lo:hi]], k)
-                sig, full = signatures(values, counts), counts > 0
-                bands = np.zeros((len(sig), BANDS), np.uint64)
-                for j in range(BANDS):
+            for lo, some in sliced(t.as_py() for t in texts):
+                hi = lo + len(some)
+                values, counts = shingle_sets(some, k)
+                sig, full = signatures(values, counts, n_bands * ROWS), counts > 0
+                bands = np.zeros((len(sig), n_bands), np.uint64)
+                for j in range(n_bands):
                     for r in range(ROWS):
                         bands[:, j] = mix64(bands[:, j] * np.uint64(31) + sig[:, j * ROWS + r], j)
                 at = np.concatenate([[0], np.cumsum(counts)])
@@ -101,14 +113,15 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b["text"].cast(pa.binary())
-            for lo, hi in slices(np.array([len(t.as_buffer()) for t in texts])):
-                values, counts = shingle_sets([t.as_py() for t in texts[lo:hi]], k)
+            for lo, some in sliced(t.as_py() for t in texts):
+                hi = lo + len(some)
+                values, counts = shingle_sets(some, k)
                 at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.record_batch([b["id"][lo:hi], pa.ListArray.from_arrays(pa.array(at), pa.array(values.view(np.int64)))], names=["id", "shingles"])
 
     small = ids.count() <= SMALL_IDS
     need = docs.withColumnRenamed("doc_id", "id").join(F.broadcast(ids) if small else ids, ["id", "th"], "left_semi")
-    return need.select("id", "text").mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
+    return need.select("id", "text").mapInArrow(frugal(run), "id long, shingles array<long>").dropDuplicates(["id"])
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, share: int) -> DataFrame:
@@ -120,7 +133,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, shar
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint32).reshape(-1, BANDS * ROWS) for c in ("su", "sv"))
+            x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint32).reshape(b.num_rows, -1) for c in ("su", "sv"))
             near = pa.array((x == y).mean(axis=1) >= share / 100 - SLACK) if b.num_rows else pa.array([], pa.bool_())
             yield b.select(["u", "v", "tu", "tv", "nu", "nv"]).filter(near)
 
@@ -133,17 +146,30 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, shar
     return full.where(100 * common >= share * (F.col("nu") + F.col("nv") - common)).select("u", "v")
 
 
+def _sent(centers: DataFrame) -> DataFrame:
+    """A row for each of some centers, stored and, if they are few, sent to every executor; so a join with it leaves no
+    center to one task."""
+    centers = cut(centers)
+    return F.broadcast(centers) if centers.count() <= SMALL_IDS // 4 else centers
+
+
 def _in_blocks(members: DataFrame) -> DataFrame:
-    """members (center, id, ...) of each center, dealt so that each two of them meet in one group (center, x, y): by
-    blocks of about BLOCK, of which each two form a group."""
-    sizes = members.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
-    rows = members.join(sizes, "center").withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    return rows.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("other", "nb")
+    """members (center, id, c, ...) of each center, dealt so that each of its members outside its most frequent component
+    meets all others in one group (center, x, y), on side 0 the former: by blocks of about BLOCK on either side."""
+    shape = members.groupBy("center", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("center").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("all"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    shape = shape.select("center", F.col("most.c").alias("main"), blocks(F.col("all") - F.col("most.n")).alias("nx"), blocks(F.col("all")).alias("ny"))
+    rows = members.join(_sent(shape), "center")
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("c <> main").withColumns({"x": deal("nx"), "side": F.lit(0)}).withColumn("y", each("ny"))
+    right = rows.withColumns({"y": deal("ny"), "side": F.lit(1)}).withColumn("x", each("nx"))
+    # without this all blocks of a center would stay in the task that the joins by center put them into
+    return left.drop("main", "nx", "ny").unionByName(right.drop("main", "nx", "ny")).repartition("center", "x", "y")
 
 
 def _sides(p: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-    return p[p.own == p.x.iloc[0]], p[p.own == p.y.iloc[0]]
+    return p[p.side == 0], p[p.side == 1]
 
 
 def _open_members(pairs: DataFrame, labels: DataFrame, classes: DataFrame, share: int) -> DataFrame:
@@ -151,21 +177,21 @@ def _open_members(pairs: DataFrame, labels: DataFrame, classes: DataFrame, share
     some = pairs.select(F.col("u").alias("center"), F.col("v").alias("id")).join(labels.withColumnsRenamed({"u": "id", "v": "c"}), "id", "left")
     some = some.withColumn("c", F.coalesce("c", "id"))
     mixed = some.groupBy("center").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("center")
-    rows = _in_blocks(some.join(mixed, "center").join(classes.select("id", "n", "sig"), "id"))
+    rows = some.join(_sent(mixed), "center").join(classes.select("id", "n", "sig"), "id")
+    # a byte of each minimum is enough here: equal minima agree, and others once in 256 times
+    rows = _in_blocks(cut(rows.select("center", "id", "c", "n", F.unhex(F.regexp_replace(F.hex("sig"), "(..)......", "$1")).alias("low"))))
     least = share / 100 - SLACK
 
     def find(p: pd.DataFrame) -> pd.DataFrame:
         left, right = _sides(p)
-        sig = [np.frombuffer(b"".join(s.sig), np.uint32).reshape(-1, BANDS * ROWS) for s in (left, right)]
-        hit = [np.zeros(len(s), bool) for s in (left, right)]
+        if not len(left) or not len(right):
+            return p.iloc[:0][["center", "id", "c", "n"]]
+        sig = [np.frombuffer(b"".join(s.low), np.uint8).reshape(len(s), -1) for s in (left, right)]
         comp, size = ([s[c].to_numpy() for s in (left, right)] for c in ("c", "n"))
-        for i in range(len(left)):
-            ok = (comp[1] != comp[0][i]) & (100 * np.minimum(size[1], size[0][i]) >= share * np.maximum(size[1], size[0][i]))
-            at = np.flatnonzero(ok)
-            at = at[(sig[1][at] == sig[0][i]).mean(axis=1) >= least]
-            hit[1][at] = True
-            hit[0][i] |= len(at) > 0
-        return pd.concat([left[hit[0]], right[hit[1]]])[["center", "id", "c", "n"]].drop_duplicates()
+        ok = (comp[0][:, None] != comp[1]) & (100 * np.minimum(size[0][:, None], size[1]) >= share * np.maximum(size[0][:, None], size[1]))
+        i, j = np.nonzero(ok)
+        near = np.concatenate([np.zeros(0, bool), *((sig[0][i[a : a + 8192]] == sig[1][j[a : a + 8192]]).mean(axis=1) >= least for a in range(0, len(i), 8192))])
+        return pd.concat([left.iloc[np.unique(i[near])], right.iloc[np.unique(j[near])]])[["center", "id", "c", "n"]].drop_duplicates()
 
     return rows.groupBy("center", "x", "y").applyInPandas(find, "center long, id long, c long, n long").distinct()
 
@@ -192,10 +218,12 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int
 def _links_between(members: DataFrame, docs: DataFrame, classes: DataFrame, k: int, share: int) -> DataFrame:
     """u, v: links, on full sets, that join the components of members which share a center."""
     ids = members.select("id").distinct().join(classes.select("id", "th"), "id")
-    rows = _in_blocks(members.join(_sets(docs, ids, k), "id"))
+    rows = _in_blocks(cut(members.join(_sets(docs, ids, k), "id")))
 
     def join(p: pd.DataFrame) -> pd.DataFrame:
         left, right = _sides(p)
+        if not len(left) or not len(right):
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
         common = common_counts(list(left.shingles), list(right.shingles))
         comp, size, ids = ([s[c].to_numpy() for s in (left, right)] for c in ("c", "n", "id"))
         near = 100 * common >= share * (size[0][:, None] + size[1][None] - common)
@@ -221,7 +249,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
     """A row for each row of docs: doc_id, th, n_shingles, component_id (null without a doc_id), kept.
     k: words in a shingle; share: least similarity in hundredths."""
     d = keyed(docs)
-    sketched = cut(d.mapInArrow(_sketch(k), "doc_id long, th long, n long, h1 long, h2 long, sig binary, bands array<long>"))
+    sketched = cut(d.mapInArrow(frugal(_sketch(k, bands_for(share))), "doc_id long, th long, n long, h1 long, h2 long, sig binary, bands array<long>"))
     live = sketched.where("n > 0 and doc_id is not null")
     classes = cut(live.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th", "n", "sig", "bands")).alias("s")).select(
         "h1", "h2", F.col("s.doc_id").alias("id"), "s.th", "s.n", "s.sig", "s.bands"))
