@@ -1,54 +1,62 @@
 """Toxicity by a support vector machine over a subsequence string kernel, with Nyström landmarks.
 
 The kernel of order 4 counts common subsequences of four characters and discounts gaps, so it tolerates inserted
-characters ("id-iot") and inflected stems. A text's segments are its lower-cased words, also without
-their punctuation, pieces of very long ones, and runs of single characters joined ("i d i o t"). For each landmark
-a text has its best segment's kernel value; Nyström's map K(L, L)^(-1/2) turns these values into features, on which
-a linear support vector machine is trained and its margins are calibrated to probabilities.
+characters ("id-iot") and inflected stems. It is normalized: k(x, y) / sqrt(k(x, x) k(y, y)). A text's segments are its
+lower-cased words, also without their punctuation, pieces of long ones, and runs of single characters joined ("i d i o t").
 
-Landmarks: strings that tell toxic training texts from others, found by greedy covering, and a few ordinary words.
-There are as many as the texts give: a string is one if it is RATIO times as frequent in toxic texts as in others (a
-clean text that quotes it only weighs against it), and if so many toxic texts have it that less than one string would
-reach that by chance. Copied passages are no further evidence: a word counts once between the same two neighbours.
+The machine judges segments, and a text's score is that of its worst segment: no word can hide another one. Its landmarks
+are several hundred segments of both kinds; Nyström's map K(L, L)^(-1/2) turns a segment's kernel values with them into
+features, on which a linear support vector machine is trained. A segment that has nothing near a mark, a value under FLOOR, gets what an empty one gets.
 
-The machine is fitted on the driver on a bounded sample of labelled rows: at most TRAIN_EACH of each label, the
+What toxic segments are is learned from whole texts: marks are strings that stand in RATIO times as many toxic texts as
+others, by numbers that chance doesn't give even once in a hundred times among all strings tried. A segment with a mark is
+an instance of the true class, as often as toxic texts have it; segments of clean texts are the false class, those near a
+mark all of them. Copied passages are no further evidence: a word counts once between the same two neighbours.
+
+The machine is fitted on the driver on a bounded sample of labelled rows: at most TRAIN_TOXIC and TRAIN_CLEAN, the
 ones with the least hash of their doc_id among texts of at most TRAIN_CHARS characters. Every text is scored
-whole. Null and empty texts have no segments and get the score of an all-zero row; labels that are null, repeated
-with a contradiction (the larger counts) or missing do no harm. Where no machine can be fitted (not both labels, or
-no string tells them apart), every score is the share of toxic rows among all labelled ones, and no row counts as toxic.
+whole, however long. Null and empty texts have no segments and get the score of an empty one; labels that are null,
+repeated with a contradiction (the larger counts) or missing do no harm; repeated rows are scored alike. Where no machine
+can be fitted (not both labels, or no string tells them apart), every score is the share of toxic rows among all labelled
+ones, but 0.49 at most, so no row counts as toxic.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import keyed, load, slices
+from .common import frugal, keyed, load, sampled, slices
 
 #: Labelled rows of each label that are used at most, and the characters of the longest of them.
-TRAIN_EACH, TRAIN_CHARS = 1500, 50_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 3000, 50_000
 ORDER, DECAY = 4, 0.7
-#: Least share of a landmark's own value that counts.
-FLOOR = 0.04
-#: How much more frequent in toxic texts a string that marks them is, and ordinary landmarks.
-RATIO, PLAIN = 4, 4
+#: The least kernel value with a mark that counts.
+FLOOR = 0.2
+#: How much more frequent in toxic texts a string that marks them is, and how likely a wrong one may be.
+RATIO, CHANCE = 4, 0.01
+#: Landmarks from toxic and from clean texts.
+TOXIC_MARKS, CLEAN_MARKS = 250, 250
 #: Toxic texts are the rarer ones, and a clean text lost costs more than a toxic one kept.
 CLEAN = 12.0
-#: Characters of a segment; longer words are cut into pieces that overlap by half.
-SEGMENT = 40
+#: Characters of a segment, and the places between pieces of longer words: any ten characters lie in one piece.
+SEGMENT, STEP = 16, 6
 #: The most that a row scores where no machine can be fitted: under the limit of 0.5, as nothing tells rows apart.
 UNFIT = 0.49
-#: Different segments whose kernel values a Python worker keeps.
-KEPT = 250_000
-#: Kernel values computed at once, and those kept beside the segments.
-CELLS = 8_000_000
+#: Different segments that a Python worker remembers; strings whose kernel values are computed at once, and bytes of texts
+#: whose segments are looked at together.
+KEPT, AT_ONCE, TEXTS = 150_000, 8192, 2 << 20
+#: Widths that strings are padded to, in turn.
+WIDTHS = (6, 8, 10, 12, SEGMENT)
 
 _SPELLED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 
@@ -60,7 +68,7 @@ def segments(text: str) -> set[str]:
     out.update("".join(filter(str.isalnum, w)) for w in [w for w in out if not w[1:-1].isalnum() and len(w) > 2])
     for w in [w for w in out if len(w) > SEGMENT]:
         out.discard(w)
-        out.update(w[i : i + SEGMENT] for i in range(0, len(w) - SEGMENT // 2, SEGMENT // 2))
+        out.update(w[i : i + SEGMENT] for i in range(0, len(w) - SEGMENT + STEP, STEP))
     return out
 
 
@@ -74,16 +82,17 @@ def _bits(codes: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(np.where(codes == 0, np.uint64(0), bit), axis=1)
 
 
-def kernel(codes: np.ndarray, landmark: str, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
-    """The gap-weighted subsequence kernel of each row of character codes (0: nothing) with one string."""
+def kernel(codes: np.ndarray, other: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
+    """The gap-weighted subsequence kernel of each row of character codes (0: nothing) with the same row of `other`, or
+    with its only one."""
     n, width = codes.shape
-    m = len(landmark)
+    m = other.shape[1]
     if m < order or width < order:
         return np.zeros(n, np.float32)
     decay, square = np.float32(decay), np.float32(decay * decay)
-    at = np.ascontiguousarray(codes.T)
-    same = [(at == ord(c)) * square for c in landmark]
-    before: np.ndarray | None = None  # of the order below, for prefixes of the landmark and of the rows; None: all ones
+    at, by = np.ascontiguousarray(codes.T), np.ascontiguousarray(other.T)
+    same = [((at == c) & (c != 0)) * square for c in by]
+    before: np.ndarray | None = None  # of the order below, for prefixes of both; None: all ones
     for q in range(1, order):
         now = np.zeros((m + 1, width + 1, n), np.float32)
         for i in range(q, m):  # a prefix without room for the rest is never read
@@ -98,6 +107,11 @@ def kernel(codes: np.ndarray, landmark: str, order: int = ORDER, decay: float =
     return sum((same[i][j] * (1 if before is None else before[i, j]) for i, j in ends), np.zeros(n, np.float32))
 
 
+def own(codes: np.ndarray) -> np.ndarray:
+    """The root of each row's kernel value with itself."""
+    return np.sqrt(np.concatenate([np.zeros(0, np.float32), *(kernel(c, c) for c in (codes[i : i + 1024] for i in range(0, len(codes), 1024)))]))
+
+
 def _pairs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A set of each row's ordered pairs of characters, folded to 128 bits, as two numbers."""
     at = np.ascontiguousarray(codes.T).astype(np.uint64)
@@ -114,61 +128,75 @@ def _pairs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Landmarks:
-    """Squared kernel values of strings with the landmarks, as shares of the landmark's own; tiny ones are none."""
-
-    def __init__(self, names: list[str]):
-        self.names = names
-        self.own = [float(kernel(_codes([s], len(s)), s)[0]) for s in names]
-        self.bits = [_bits(_codes([s], len(s)))[0] for s in names]
+    """Normalized kernel values of strings with landmarks, the first `gates` of which are the marks. A string without
+    a value of FLOOR or more with one of those has none at all."""
+
+    def __init__(self, names: list[str], gates: int):
+        self.names, self.gates = names, gates
+        self.codes = [_codes([s], len(s)) for s in names[:gates]]
+        self.own = np.concatenate([own(_codes([s], len(s))) for s in names]) if names else np.zeros(0)
+        self.bits = [_bits(c)[0] for c in self.codes]
         # a common subsequence has so many different characters at least, and all its ordered pairs
         self.least, self.masks = [], []
-        for s in names:
-            grams = {"".join(s[i] for i in pick) for pick in combinations(range(len(s)), ORDER)}
-            self.least.append(min((int(np.bitwise_count(_bits(_codes([g], ORDER)))[0]) for g in grams), default=0))
-            self.masks.append([tuple(x[0] for x in _pairs(_codes([g], ORDER))) for g in sorted(grams)])
-
-    def values(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.names)), np.float32)
-        size = np.array([len(w) for w in words])
-        for lo, hi in ((ORDER, 6), (7, 8), (9, 10), (11, 12), (13, 16), (17, 24), (25, SEGMENT)):
-            some = np.flatnonzero((size >= lo) & (size <= hi))
-            for part in (some[i : i + 16384] for i in range(0, len(some), 16384)):
-                codes = _codes([words[i] for i in part.tolist()], hi)
-                bits, (low, high) = _bits(codes), _pairs(codes)
-                for k, s in enumerate(self.names):
-                    may = np.flatnonzero(np.bitwise_count(bits & self.bits[k]) >= self.least[k])
-                    a, b = low[may], high[may]
-                    fits = np.zeros(len(may), bool)
-                    for x, y in self.masks[k]:
-                        fits |= ((a & x) == x) & ((b & y) == y)
-                    may = may[fits]
-                    if len(may):
-                        share = kernel(codes[may], s) / self.own[k]
-                        out[part[may], k] = np.where(share * share >= FLOOR, share * share, 0)
+        for s in names[:gates]:
+            grams = sorted({"".join(s[i] for i in pick) for pick in combinations(range(len(s)), ORDER)})
+            self.least.append(min((int(x) for x in np.bitwise_count(_bits(_codes(grams, ORDER)))), default=0))
+            self.masks.append(list(dict.fromkeys(zip(*(x.tolist() for x in _pairs(_codes(grams, ORDER)))))))
+        width = np.array([len(s) for s in names])
+        some = [(hi, np.flatnonzero((width > lo) & (width <= hi))) for lo, hi in zip((0, *WIDTHS), WIDTHS)]
+        self.by_width = [(at, _codes([names[i] for i in at.tolist()], hi)) for hi, at in some if len(at)]
+
+    def values(self, codes: np.ndarray) -> np.ndarray:
+        """Each row's values with all landmarks."""
+        out, size = np.zeros((len(codes), len(self.names)), np.float32), own(codes)
+        for at, marks in self.by_width:
+            step = max(1, AT_ONCE // len(at))
+            for i in range(0, len(codes), step):
+                some = codes[i : i + step]
+                k = kernel(np.repeat(some, len(at), axis=0), np.tile(marks, (len(some), 1))).reshape(len(some), -1)
+                out[i : i + step, at] = k / (size[i : i + step, None] * self.own[at])
         return out
 
-
-    def found(self, words: list[str]) -> tuple[dict[str, int], np.ndarray]:
-        """Numbers of the words that have something in common with a landmark, and the table of their values."""
-        at, tables, n = {}, [np.zeros((0, len(self.names)), np.float32)], 0
-        step = max(1, CELLS // max(1, len(self.names)))
-        for part in (words[i : i + step] for i in range(0, len(words), step)):
-            values = self.values(part)
-            full = np.flatnonzero(values.any(axis=1))
-            at.update((part[i], n + k) for k, i in enumerate(full.tolist()))
-            tables.append(values[full])
-            n += len(full)
+    def _near(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows that may be near a mark, and their values with the marks."""
+        bits, (low, high) = _bits(codes), _pairs(codes)
+        out: dict[int, tuple] = {}
+        for k in range(self.gates):
+            may = np.flatnonzero(np.bitwise_count(bits & self.bits[k]) >= self.least[k])
+            a, b = low[may], high[may]
+            fits = np.zeros(len(may), bool)
+            for x, y in self.masks[k]:
+                fits |= ((a & np.uint64(x)) == x) & ((b & np.uint64(y)) == y)
+            if len(may := may[fits]):
+                out[k] = may, kernel(codes[may], self.codes[k]) / self.own[k]
+        rows = np.unique(np.concatenate([np.zeros(0, np.int64), *(r for r, _ in out.values())]))
+        values, size = np.zeros((len(rows), self.gates), np.float32), own(codes[rows])
+        for k, (r, v) in out.items():
+            at = np.searchsorted(rows, r)
+            values[at, k] = v / size[at]
+        return rows, values
+
+    def found(self, words: list[str]) -> tuple[list[int], np.ndarray]:
+        """Numbers of the words near a mark, and their values with all landmarks."""
+        size = np.array([len(w) for w in words], np.int64)
+        at, tables = [], [np.zeros((0, len(self.names)), np.float32)]
+        for lo, hi in zip((ORDER - 1, *WIDTHS), WIDTHS):
+            some = np.flatnonzero((size > lo) & (size <= hi))
+            for part in (some[i : i + AT_ONCE] for i in range(0, len(some), AT_ONCE)):
+                codes = _codes([words[i] for i in part.tolist()], hi)
+                rows, near = self._near(codes)
+                rows = rows[near.max(axis=1, initial=0) >= FLOOR]
+                tables.append(self.values(codes[rows]))
+                at += part[rows].tolist()
         return at, np.concatenate(tables)
 
 
-def support(counts: Counter, share: float, most: int) -> int:
-    """The least number of toxic texts, from 3 to `most`, that less than one of the strings with so many would have by
-    chance, where toxic is this share of all texts. It rises with the logarithm of the strings."""
-    size = Counter(counts.values())
-    k = 3
-    while k < most and sum(n for c, n in size.items() if c >= k) * share**k >= 1:
-        k += 1
-    return k
+@lru_cache(maxsize=1 << 16)
+def surprise(toxic: int, clean: int, share: float) -> float:
+    """The chance that so many or more of a string's texts are toxic, where `share` of all texts are."""
+    n = toxic + clean
+    log = lambda k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share)
+    return min(1.0, sum(math.exp(log(k)) for k in range(toxic, n + 1)))
 
 
 def fresh(sets: list[set[str]], texts: list[str]) -> list[set[str]]:
@@ -183,32 +211,30 @@ def fresh(sets: list[set[str]], texts: list[str]) -> list[set[str]]:
     return out
 
 
-def choose(sets: list[set[str]], toxic: np.ndarray, texts: list[str]) -> tuple[list[str], list[str]]:
-    """Marks and ordinary landmarks from training texts and their sets of segments. A mark is the string that most more toxic texts have than
+def choose(sets: list[set[str]], toxic: np.ndarray, texts: list[str]) -> list[str]:
+    """Marks from training texts and their sets of segments. A mark is the string that most more toxic texts have than
     others, made longer while many still have it; again without the segments that have it."""
     def grams(words: set[str]) -> set[str]:
         return {w[i : i + n] for w in words for n in (4, 5, 6) for i in range(len(w) - n + 1)}
 
     n_toxic = int(toxic.sum())
-    share = n_toxic / max(1, len(sets) - n_toxic)
+    odds, share = n_toxic / max(1, len(sets) - n_toxic), n_toxic / len(sets)
     bad, good = (Counter(w for s, t in zip(sets, toxic) if t == of for w in s) for of in (True, False))
-    plain = {w for w, c in good.items() if bad[w] <= RATIO * share * c}
+    plain = {w for w, c in good.items() if bad[w] <= RATIO * odds * c}
     texts = [s - plain for s in fresh([s for s, t in zip(sets, toxic) if t], [x for x, t in zip(texts, toxic) if t])]
     count = Counter(g for s in texts for g in grams(s))
-    least = support(count, n_toxic / len(sets), max(3, n_toxic // 40))
-    count = Counter({g: c for g, c in count.items() if c >= least})
-    for s, t in zip(sets, toxic):
-        if not t:
-            for g in grams(s) & count.keys():
-                count[g] -= RATIO * share
-    count = Counter({g: c for g, c in count.items() if c >= least})
+    tried = max(1, len(count))
+    count = Counter({g: c for g, c in count.items() if c >= 3})
+    clean = Counter(g for s, t in zip(sets, toxic) if not t for g in grams(s) & count.keys())
+    marked = lambda g, c: c > RATIO * odds * clean[g] and surprise(c, clean[g], share) * tried < CHANCE
+    count = Counter({g: c for g, c in count.items() if marked(g, c)})
     texts = [{w for w in s if not count.keys().isdisjoint(grams({w}))} for s in texts]
     marks: list[str] = []
     while count:
-        best = max(count, key=lambda g: (count[g], len(g), g))
+        best = max(count, key=lambda g: (count[g] - odds * clean[g], len(g), g))
         n = count.pop(best)  # no wider string may lose half of its texts
-        if n < least:
-            break
+        if n < 3 or not marked(best, n):
+            continue
         while len(best) < 12:
             wider = Counter(g for s in texts for g in {w[i : i + len(best) + 1] for w in s for i in range(len(w) - len(best))} if best in g)
             more = max(wider, key=lambda g: (wider[g], g), default=None)
@@ -220,17 +246,14 @@ def choose(sets: list[set[str]], toxic: np.ndarray, texts: list[str]) -> tuple[l
             if gone := {w for w in s if best in w}:
                 s -= gone
                 count.subtract((grams(gone) - grams(s)) & count.keys())
-    words = sorted(w for w in plain if ORDER <= len(w) <= 8)
-    rng = np.random.default_rng(7)
-    return marks, [words[i] for i in sorted(rng.choice(len(words), min(PLAIN, len(words)), replace=False))]
+    return marks
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, penalty: float = 10.0, steps: int = 600) -> tuple[np.ndarray, float]:
-    """A linear machine with squared hinge loss, by accelerated gradient steps. The false rows together weigh
-    CLEAN times what the true ones do."""
+def train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 30.0, steps: int = 400) -> tuple[np.ndarray, float]:
+    """A linear machine with squared hinge loss on weighted rows, by accelerated gradient steps."""
     z = np.hstack([x, np.ones((len(x), 1))])
-    s, weight = np.where(y, 1.0, -1.0), np.where(y, 0.5 / max(1, y.sum()), 0.5 * CLEAN / max(1, (~y).sum()))
-    rate = 1 / (1e-3 + 2 * penalty * np.linalg.norm(z * np.sqrt(weight)[:, None], 2) ** 2)
+    s, weight = np.where(y, 1.0, -1.0), weight / weight.sum()
+    rate = 1 / (1e-3 + 2 * penalty * np.linalg.norm((z * weight[:, None]).T @ z, 2))
     w = v = np.zeros(z.shape[1])
     for t in range(steps):
         slack = np.maximum(0, 1 - s * (z @ v))
@@ -240,97 +263,121 @@ def train_svm(x: np.ndarray, y: np.ndarray, penalty: float = 10.0, steps: int =
     return w[:-1], float(w[-1])
 
 
-def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """a, b of 1 / (1 + exp(-(a * margin + b))), fitted with smoothed targets."""
-    n1, n0 = int(y.sum()), int((~y).sum())
+def calibrate(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """a of 1 / (1 + exp(-a * margin)), the steepness: the border is where the machine has it."""
+    n1, n0 = weight[y].sum(), weight[~y].sum()
     target = np.where(y, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    z, p = np.stack([margin, np.ones(len(margin))], 1), np.array([1.0, 0.0])
-    weight = np.where(y, 1.0, CLEAN)
+    a, weight = 1.0, np.where(y, weight / n1, weight / max(1.0, n0))
     for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(z @ p, -30, 30)))
-        h = z.T @ (z * (weight * q * (1 - q))[:, None]) + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, z.T @ (weight * (q - target)))
-        p = p - np.clip(step, -2, 2)
-        if abs(step).max() < 1e-9:
+        q = 1 / (1 + np.exp(-np.clip(a * margin, -30, 30)))
+        step = (weight * (q - target) * margin).sum() / ((weight * q * (1 - q) * margin * margin).sum() + 1e-6)
+        a = min(max(a - np.clip(step, -1, 1), 0.5), 8.0)
+        if abs(step) < 1e-9:
             break
-    return float(max(p[0], 1e-3)), float(p[1])
+    return float(a)
 
 
 @dataclass
 class Machine:
-    names: list[str]
-    weights: np.ndarray  # of the landmarks' values
+    names: list[str]  # the landmarks
+    gates: int  # so many of them, the first, are the marks
+    weights: np.ndarray  # of the kernel values with the landmarks
     shift: float
 
-    def score(self, values: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(values @ self.weights + self.shift, -30, 30)))
+    def score(self, margin: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(margin + self.shift, -30, 30)))
+
+
+def variants(mark: str) -> list[str]:
+    """A mark with a character put in at each place, or two."""
+    one = [mark[:i] + c + mark[i:] for i in range(1, len(mark)) for c in "x-"]
+    return [mark, *one, *(mark[:i] + "x" + mark[i:j] + "-" + mark[j:] for i in range(1, len(mark)) for j in range(i + 1, len(mark)))]
 
 
-def fit(texts: list[str], toxic: list[int], share: float = 0.5, most: float = UNFIT) -> Machine:
-    """share: of toxic rows among all labelled ones. It is the score, but `most` at most, where no machine can be fitted."""
-    share = min(share, most)
-    unfit = Machine([], np.zeros(0), float(np.log(share / (1 - share))))
+def fit(texts: list[str], toxic: list[int], share: float = 0.5) -> Machine:
+    """share: of toxic rows among all labelled ones. It is the score, but UNFIT at most, where no machine can be fitted."""
+    share = min(share, UNFIT)
+    unfit = Machine([], 0, np.zeros(0), float(np.log(share / (1 - share))))
     y = np.array(toxic, bool)
     if y.all() or not y.any():
         return unfit
     sets = [segments(t) for t in texts]
-    names, plain = choose(sets, y, texts)
-    if not names:
+    marks = choose(sets, y, texts)
+    if not marks:
         return unfit
-    insults, names = names, names + plain
-    marks = Landmarks(names)
-    words = sorted(set().union(*sets))
-    at, values = marks.found(words)
-    x = np.stack([values[r].max(axis=0) if (r := [at[w] for w in s if w in at]) else np.zeros(len(names)) for s in sets]).astype(float)
-    # one insult is enough: so each mark alone, and with a character put in, is an instance of its own
-    alone = [m[:i] + c + m[i:] for m in insults for i in range(len(m)) for c in ("", "x", "-") if i or not c]
-    x = np.concatenate([x, marks.values(alone).astype(float)])
-    y = np.concatenate([y, np.ones(len(alone), bool)])
-    gram = marks.values(names).astype(float)
-    gram = (gram + gram.T) / 2
-    lam, vec = np.linalg.eigh(gram)
-    nystrom = vec @ np.diag(1 / np.sqrt(np.maximum(lam, 0.05))) @ vec.T
-    w, b = train_svm(x @ nystrom, y)
-    a, c = calibrate(x @ nystrom @ w + b, y)
-    return Machine(names, nystrom @ w * a, a * b + c)
+    n_toxic, n_clean = int(y.sum()), int((~y).sum())
+    bad, good = (Counter(w for s, t in zip(sets, y) if t == of for w in s if len(w) >= ORDER) for of in (True, False))
+    shown = {w: c for w, c in bad.items() if any(m in w for m in marks)}
+    names = marks + [w for w in sorted(shown, key=lambda w: (-shown[w], hash_of(w))) if w not in marks][: max(0, TOXIC_MARKS - len(marks))]
+    # clean segments near a mark are the hard ones: all of them are instances, and landmarks come from them first
+    words = sorted(good, key=hash_of)
+    hard = [words[i] for i in Landmarks(marks, len(marks)).found(words)[0]]
+    plain = [w for w in words if w not in shown][:CLEAN_MARKS]
+    names += [w for w in dict.fromkeys([*hard[: CLEAN_MARKS // 2], *plain]) if w not in names][:CLEAN_MARKS]
+    landmarks = Landmarks(names, len(marks))
+
+    # one insult is enough: so each mark alone, and with characters put in, is an instance of its own
+    seen = sum(shown.values()) / len(marks)
+    true = Counter(shown)
+    true.update({v: max(1.0, seen / 50) for m in marks for v in variants(m) if len(v) <= SEGMENT})
+    rows, y, weight = [np.zeros((1, len(names)))], [False], [float(len(plain))]  # all that is near no mark is alike
+    for is_toxic, of in ((True, true), (False, {w: good[w] for w in hard})):
+        some = sorted(of)
+        at, values = landmarks.found(some)
+        rows.append(values)
+        y += [is_toxic] * len(at)
+        weight += [of[some[i]] for i in at]
+    x, y, weight = np.concatenate(rows), np.array(y), np.array(weight, float)
+    weight[~y] *= CLEAN * n_toxic / n_clean
+    lam, vec = np.linalg.eigh(landmarks.values(_codes(names, SEGMENT)).astype(float))
+    nystrom = vec @ np.diag(1 / np.sqrt(np.maximum(lam, 1e-2))) @ vec.T
+    w, b = train_svm(x @ nystrom, y, weight)
+    a = calibrate(x @ nystrom @ w + b, y, weight)
+    return Machine(names, len(marks), nystrom @ w * a, a * b)
+
+
+def hash_of(word: str) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), 5)
 
 
 class Scorer:
-    """A machine with the kernel values of the segments it has met."""
+    """A machine that remembers the segments it has met."""
 
     def __init__(self, machine: Machine):
-        self.machine, self.marks = machine, Landmarks(machine.names)
-        self.kept: dict[str, int] = {}  # row of the table; -1: nothing in common with any landmark
-        self.table = np.zeros((0, len(machine.names)), np.float32)
+        self.machine, self.marks = machine, Landmarks(machine.names, machine.gates)
+        self.margin: dict[str, float] = {}  # of segments near a mark
+        self.none: set[str] = set()
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, list[str | None]]:
-        """Score and best segment of each text."""
-        scores, best = np.zeros(len(texts)), [None] * len(texts)
-        none = np.zeros((1, len(self.machine.names)), np.float32)
-        for lo, hi in slices(np.array([len(t.as_buffer() or b"") for t in texts])):
+        """Score and worst segment of each text."""
+        margins, best = np.zeros(len(texts)), [None] * len(texts)
+        for lo, hi in slices(np.array([len(t.as_buffer() or b"") for t in texts]), TEXTS):
             sets = [segments(t.as_py() or "") for t in texts[lo:hi]]
-            self._learn(set().union(*sets))
-            kept = self.kept
-            top = np.zeros((len(sets), len(self.machine.names)))
-            for i, s in enumerate(sets):
-                found = [(kept[w], w) for w in s if kept.get(w, -1) >= 0]
-                if found and none.shape[1]:
-                    have = self.table[[r for r, _ in found]]
-                    top[i] = have.max(axis=0)
-                    gain = have @ self.machine.weights
-                    best[lo + i] = min(w for (_, w), g in zip(found, gain) if g == gain.max()) if gain.max() > 0 else None
-            scores[lo : lo + len(sets)] = self.machine.score(top)
-        return scores, best
+            if self.machine.names:
+                self._learn(set().union(*sets))
+            for i, s in enumerate(sets, lo):
+                if met := self.margin.keys() & s:
+                    margins[i], best[i] = max((self.margin[w], w) for w in met)
+                    if len(met) < len(s):
+                        margins[i] = max(margins[i], 0.0)
+                    if margins[i] <= 0:
+                        best[i] = None
+        return self.machine.score(margins), best
 
     def _learn(self, words: set[str]) -> None:
-        new = [w for w in words.difference(self.kept) if len(w) >= ORDER]
-        if len(self.kept) + len(new) > KEPT or self.table.size > CELLS:
-            self.kept.clear()
-            self.table = self.table[:0]
-            new = [w for w in words if len(w) >= ORDER]
+        new = [w for w in words if len(w) >= ORDER and w not in self.none and w not in self.margin]
+        if len(self.none) + len(new) > KEPT:
+            self.none.clear()
+        if len(self.margin) > KEPT:
+            self.margin.clear()
+            new = [w for w in words if len(w) >= ORDER and w not in self.none]
         at, values = self.marks.found(new)
-        self.kept.update((w, len(self.table) + at[w] if w in at else -1) for w in new)
-        self.table = np.concatenate([self.table, values])
+        self.none.update(new)
+        for i, m in zip(at, (values @ self.machine.weights).tolist()):
+            self.margin[new[i]] = m
+        self.none.difference_update(self.margin)
 
 
 def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], list[int], float]:
@@ -339,10 +386,9 @@ def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], lis
     known = known.where(learn(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, bad = known.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = (bad + 1) / (n + 2)
-    order = F.xxhash64("doc_id")
-    short = docs.where(F.length("text") <= TRAIN_CHARS).select("doc_id").withColumn("_short", F.lit(1)).distinct()
+    short = docs.where(F.length("text") <= TRAIN_CHARS).select("doc_id").distinct()
     known = known.join(short, "doc_id", "left_semi")
-    some = [known.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(TRAIN_EACH).collect() for t in (1, 0)]
+    some = [sampled(known.where(F.col("toxic") == t), "doc_id", most, total).collect() for t, most, total in ((1, TRAIN_TOXIC, bad), (0, TRAIN_CLEAN, n - bad))]
     pick = {r["doc_id"]: r["toxic"] for rows in some for r in rows}
     if not pick:
         return [], [], share
@@ -352,12 +398,11 @@ def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], lis
     return [r["text"] for r in rows], [pick[r["doc_id"]] for r in rows], share
 
 
-def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True), unfit: float = 0.5) -> DataFrame:
-    """A row for each row of docs: doc_id, th, score (0 to 1), best string: the segment nearest to the machine's
-    heaviest evidence (null if there is none). learn: which doc_ids' labels may be learned from. unfit: the most that
-    a row scores where no machine can be fitted."""
+def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True)) -> DataFrame:
+    """A row for each row of docs: doc_id, th, score (0 to 1), best string: the worst segment (null if none is near a
+    mark). learn: which doc_ids' labels may be learned from."""
     d = keyed(docs)
-    machine = fit(*_training(d, labels, learn), unfit)
+    machine = fit(*_training(d, labels, learn))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Scorer(machine)
@@ -365,7 +410,7 @@ def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True),
             scores, best = of(b["text"])
             yield pa.record_batch([b["doc_id"], b["th"], pa.array(scores), pa.array(best, pa.string())], names=["doc_id", "th", "score", "best"])
 
-    return d.mapInArrow(run, "doc_id long, th long, score double, best string")
+    return d.mapInArrow(frugal(run), "doc_id long, th long, score double, best string")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
@@ -379,7 +424,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFr
         for b in batches:
             yield b.filter(pa.array(of(b["text"].cast(pa.string()))[0] < least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)
 
 
 def learned_from(doc_id):
@@ -388,6 +433,6 @@ def learned_from(doc_id):
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
-    out = score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), learned_from, UNFIT)
+    out = score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), learned_from)
     held = F.coalesce(~learned_from(F.col("doc_id")), F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "best")
