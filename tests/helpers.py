@@ -14,7 +14,7 @@ def event(offset, kind, user, minute, name, campaign=None, arr=None, partition=0
     return (kind, partition, offset, BASE + timedelta(hours=5, seconds=offset) if arr is None else arr, user, t, name, campaign, "/" + name if kind == "v" else None, f"raw {name}")
 
 
-#: The golden workload: lateness 15 minutes, one partition, in this order.
+#: The golden workload (lateness 15 minutes, one partition, in this order) and what it gives.
 GOLDEN = [event(i, *x) for i, x in enumerate([
     ("c", "user_1", 5, "click_1", "campaign_A"), ("v", "user_1", 10, "pv_1"), ("v", "user_2", 15, "pv_2"), ("c", "user_2", 12, "click_2", "campaign_B"),
     ("c", "user_3", 20, "click_3a", "campaign_C"), ("c", "user_3", 25, "click_3b", "campaign_D"), ("v", "user_3", 30, "pv_3"), ("c", "user_4", 35, "click_4", "campaign_E"),

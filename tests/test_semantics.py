@@ -54,12 +54,17 @@ def test_strategies_agree_with_brute_force(spark):
 
 
 def late_by_hand(rows, lateness):
+    return {r[2] for r in late_rows(rows, lateness)}
+
+
+def late_rows(rows, lateness):
     """The late rows, by going through the events one at a time."""
-    marks, late = {}, set()
-    for kind, part, off, arr, user, t, *_ in sorted(rows, key=lambda r: (r[3], r[2])):
+    marks, late = {}, []
+    for row in sorted(rows, key=lambda r: (r[3], r[0], r[2])):
+        kind, part, t = row[0], row[1], row[5]
         c, v = marks.get((part, "c")), marks.get((part, "v"))
         if c and v and t <= min(c, v) - timedelta(seconds=lateness):
-            late.add(off)
+            late.append(row)
         else:
             marks[part, kind] = max(t, marks.get((part, kind)) or t)
     return late
@@ -73,6 +78,51 @@ def test_lateness_record_by_record(spark):
     assert {r.offset for r in got.collect()} == want and want
 
 
+def test_one_order_of_arrival(spark):
+    """Records of both topics with equal arrival times: clicks first, then by offset, wherever order counts."""
+    rnd = random.Random(4)
+    rows = [event(i // 2 if i % 2 else 200 - i // 2, "cv"[i % 2], f"u{rnd.randint(0, 2)}", i / 3 + rnd.randint(-40, 0), f"e{i}", arr=BASE + timedelta(hours=6, seconds=i // 8)) for i in range(300)]
+    got = quality.classify(spark.createDataFrame(rows, EVENT), F.lit("2025-01-01").cast("timestamp"), CFG).where("reason is not null")
+    assert {r.offset for r in got.where("kind = 'c'").collect()} | {-1 - r.offset for r in got.where("kind = 'v'").collect()} == {
+        r[2] if r[0] == "c" else -1 - r[2] for r in late_rows(rows, CFG.lateness)}
+    v, c = frames(spark, [event(5, "v", "a", 20, "p", arr=BASE), event(9, "c", "a", 10, "k", "K", arr=BASE)])
+    assert [r.attributed_click_id for r in asof.attribute_initially(v, c, 1800).collect()] == ["k"]
+
+
+def test_ids_are_compared_as_strings(spark):
+    rows = [(kind, 0, i, BASE, 1, BASE, n, "k", "/", "") for i, (kind, n) in enumerate([("c", 9), ("c", 10), ("v", 1)])]
+    d = spark.createDataFrame(rows, EVENT.replace("user_id string", "user_id long").replace(" id string", " id long"))
+    for strategy in ("slots", "user", "range"):
+        assert [r.attributed_click_id for r in asof.attribute(d.where("kind = 'v'"), d.where("kind = 'c'"), 1800, strategy).collect()] == [9]
+
+
+@pytest.mark.parametrize("slot", [1, 7, 1000])
+def test_breaker_over_slots(spark, slot):
+    rnd = random.Random(slot)
+    rows = [(k, 3 * i, rnd.random() < 0.15) for k in range(3) for i in range(200)]
+    want, run = {}, {}
+    for k, i, ok in rows:
+        run[k] = 0 if ok else run.get(k, 0) + 1
+        want[k, i] = (run[k], run[k] >= 4)
+    got = ops.breaker(spark.createDataFrame(rows, "k int, i int, ok boolean"), 4, ["k"], "i", slot).collect()
+    assert {(r.k, r.i): (r.failures, r.paused) for r in got} == want
+
+
+def test_counters_count_inserts_once(spark):
+    rows = [("c", "x", "u", None, None), ("v", "p", "u", None, "x"), ("v", "p", "u", None, "x"), ("v", "p", "w", None, None), ("v", "q", "u", "too late", None), ("c", None, None, "missing user_id", None)]
+    got = observe.counters(spark.createDataFrame(rows, "kind string, id string, user_id string, reason string, attributed_click_id string")).first()
+    assert tuple(got) == (2, 4, 2, 1, 2)
+    assert tuple(observe.counters(spark.createDataFrame([], "kind string, id string, user_id string, reason string, attributed_click_id string")).first()) == (0, 0, 0, 0, 0)
+
+
+def test_event_log_rings(spark):
+    """Consumption can't evict attributed ids; a repeated id keeps its place."""
+    e = [(f"e{i}", BASE + timedelta(seconds=i), "c", i) for i in range(30)] + [("e27", BASE + timedelta(seconds=99), "c", 99)]
+    d = spark.createDataFrame(e, "id string, arr timestamp, kind string, offset long")
+    got = observe.event_log(d, d.where("id in ('e1', 'e2', 'e3', 'e4')"), 3).orderBy("ring", "place").collect()
+    assert [(r.ring, r.id, r.place) for r in got] == [*(("attributed", f"e{4 - k}", k) for k in range(3)), *(("live", f"e{29 - k}", k) for k in range(3))]
+
+
 def test_validation(spark):
     ahead = BASE + timedelta(days=1)
     rows = [event(0, "v", "a", None, "x"), event(1, "c", None, 1, "y"), event(2, "c", " \t", 1, "z"), event(3, "v", "a", 24 * 60, "far"), event(4, "v", "a", 5, "ok")]

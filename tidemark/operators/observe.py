@@ -9,13 +9,18 @@ BOUNDS = (1, 5, 15, 60, 300)
 LABELS = ("<=1s", "<=5s", "<=15s", "<=60s", "<=300s", ">300s")
 
 
-def counters(parsed: DataFrame, attributed: DataFrame, dead: DataFrame) -> DataFrame:
-    """One row: records consumed of each kind, also those rejected later; views attributed or found without a click;
-    dead letters."""
-    a = parsed.agg(F.count_if(F.col("kind") == "c").alias("clicks_consumed"), F.count_if(F.col("kind") == "v").alias("views_consumed"))
-    b = attributed.agg(F.count(F.lit(1)).alias("views_attributed"), F.count("attributed_click_id").alias("views_with_click"))
-    c = dead.agg(F.count(F.lit(1)).alias("dead_letters"))
-    return a.join(b, F.lit(True)).join(c, F.lit(True))  # three single rows
+def counters(events: DataFrame) -> DataFrame:
+    """One row: records consumed of each kind, also those rejected; views attributed or found without a click; dead letters.
+    events: a row for each record with kind, reason (null: accepted) and, of views, attributed_click_id. Views count once
+    for each (id, user_id), as only true inserts do."""
+    ok = F.col("reason").isNull() & (F.col("kind") == "v")
+    key = F.when(ok, F.struct("id", "user_id"))
+    first = events.groupBy("kind", key.alias("view"), F.when(~ok, F.col("reason").isNotNull()).alias("dead")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("attributed_click_id").isNotNull().cast("int")).alias("clicked"))
+    n = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0)).alias
+    view = F.col("view").isNotNull()
+    return first.agg(n(F.col("kind") == "c")("clicks_consumed"), n(F.col("kind") == "v")("views_consumed"), F.count_if(view).alias("views_attributed"),
+                     F.count_if(view & (F.col("clicked") == 1)).alias("views_with_click"), n(F.col("dead"))("dead_letters"))
 
 
 def campaign_credit(initial: DataFrame) -> DataFrame:
@@ -60,6 +65,14 @@ def staleness(events: DataFrame, now) -> DataFrame:
     return at.select("kind", "partition", F.timestamp_diff("SECOND", F.col("at"), now).alias("seconds"))
 
 
-def running_count(events: DataFrame, keys: list[str], order: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return events.withColumn("n", F.count(F.lit(1)).over(w))
+def event_log(events: DataFrame, attributions: DataFrame, capacity: int = 500) -> DataFrame:
+    """The bounded log: ring (live or attributed), id, at, place (from 0, newest first). live: the last `capacity` different
+    ids by their first arrival; attributed: the same of the ids that reached an attribution, which consumption can't
+    evict. events, attributions: id, arr, kind, offset. An id that comes again isn't new, even if it was evicted."""
+    def ring(rows: DataFrame, name: str) -> DataFrame:
+        first = rows.groupBy("id").agg(F.min(F.struct("arr", "kind", "offset")).alias("f"))
+        last = first.orderBy(F.desc("f")).limit(max(0, capacity))  # at most `capacity` rows from here on
+        place = F.row_number().over(Window.orderBy(F.desc("f"))) - 1
+        return last.select(F.lit(name).alias("ring"), "id", F.col("f.arr").alias("at"), place.alias("place"))
+
+    return ring(events, "live").unionAll(ring(attributions, "attributed"))

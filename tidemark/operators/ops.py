@@ -41,12 +41,28 @@ def hysteresis(sizes: DataFrame, column: str, high: int, low: int, keys: list[st
     return sizes.withColumn("paused", F.coalesce(F.last(turn, ignorenulls=True).over(w), F.lit(False)))
 
 
-def breaker(calls: DataFrame, most: int, keys: list[str], order: str) -> DataFrame:
-    """calls (ok boolean) with failures in a row, and paused: from `most` failures in a row until a success."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = calls.withColumn("_run", F.sum(F.col("ok").cast("int")).over(w))
-    inside = Window.partitionBy(*keys, "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("failures", F.sum((~F.col("ok")).cast("int")).over(inside)).drop("_run")
+def breaker(calls: DataFrame, most: int, keys: list[str], order: str, slot: int = 100_000) -> DataFrame:
+    """calls (ok boolean) with failures in a row, and paused: from `most` failures in a row until a success. order: a whole
+    number that tells the calls of one key apart.
+
+    The order is cut into slots of `slot` numbers: how many failures end each slot, carried on over slots without a success
+    (few rows), and then the order within the slot. So a key's calls are no single task's work."""
+    d = calls.withColumn("_slot", F.floor(F.col(order) / slot))
+    last = F.max(F.when(F.col("ok"), F.col(order)))
+    # of each slot: its last success, and the failures after that
+    slots = d.groupBy(*keys, "_slot").agg(last.alias("_last"))
+    after = d.join(slots, [*keys, "_slot"]).where(F.col("_last").isNull() | (F.col(order) > F.col("_last"))).groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_tail"))
+    slots = slots.join(after, [*keys, "_slot"], "left").withColumn("_tail", F.coalesce("_tail", F.lit(0)))
+    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum("_tail").over(before), F.lit(0))  # failures at the ends of all slots before
+    # the failures before the last slot that has a success don't count any more
+    gone = F.max(F.when(F.col("_last").isNotNull(), F.col("_total"))).over(before)
+    slots = slots.withColumn("_total", total).withColumn("_carry", F.col("_total") - F.coalesce(gone, F.lit(0))).select(*keys, "_slot", "_carry")
+    inside = Window.partitionBy(*keys, "_slot").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_run", F.sum(F.col("ok").cast("int")).over(inside))
+    run = Window.partitionBy(*keys, "_slot", "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("failures", F.sum((~F.col("ok")).cast("int")).over(run)).join(slots, [*keys, "_slot"])
+    d = d.withColumn("failures", F.col("failures") + F.when(F.col("_run") == 0, F.col("_carry")).otherwise(0)).drop("_slot", "_run", "_carry")
     return d.withColumn("paused", F.col("failures") >= most)
 
 

@@ -24,7 +24,7 @@ def too_far_ahead(now: Column, cfg: Config) -> Column:
 
 def running_watermarks(valid: DataFrame, hours: int = 1) -> DataFrame:
     """valid with cw and vw: per partition, the greatest event_time of clicks and of views that arrived before the
-    row. A partition's order is cut into slots of arrival time: each slot's maxima, then those of all slots before
+    row. The order of arrival is that of arr, then topic, then offset, as in the stream. A partition's order is cut into slots of arrival time: each slot's maxima, then those of all slots before
     it (few rows), then the order within the slot. So a partition is no single task's work."""
     slot = F.floor(F.unix_seconds(F.col("arr").cast("timestamp")) / (3600 * hours))
     d = valid.withColumn("_slot", slot)
@@ -32,7 +32,7 @@ def running_watermarks(valid: DataFrame, hours: int = 1) -> DataFrame:
     ends = d.groupBy("partition", "_slot").agg(F.max(time("c")).alias("_c"), F.max(time("v")).alias("_v"))
     before = Window.partitionBy("partition").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select("partition", "_slot", F.max("_c").over(before).alias("_c"), F.max("_v").over(before).alias("_v"))
-    inside = Window.partitionBy("partition", "_slot").orderBy("arr", "offset").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("partition", "_slot").orderBy("arr", "kind", "offset").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_ci", F.max(time("c")).over(inside)).withColumn("_vi", F.max(time("v")).over(inside)).join(ends, ["partition", "_slot"])
     return d.withColumn("cw", F.greatest("_c", "_ci")).withColumn("vw", F.greatest("_v", "_vi")).drop("_slot", "_c", "_v", "_ci", "_vi")
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import Config
 from ..operators import asof, dedup, observe, ops, quality, updates
+from ..functions import bad_timestamp, lenient_timestamp
 from ..operators.asof import seconds
 from ..sources import clicks, events, parse, raw_records, views
 
@@ -31,11 +32,11 @@ def sql_attribute(window: int, v: str = "v", c: str = "c", more: str = "") -> st
     """The attribution of view table v with click table c, as a query."""
     return f"""SELECT v.id AS page_view_id, v.user_id, v.event_time, v.url, c.campaign_id AS attributed_campaign_id, c.id AS attributed_click_id, c.event_time AS attributed_click_time
   FROM {v} AS v LEFT JOIN {c} AS c ON c.user_id = v.user_id AND c.event_time <= v.event_time AND c.event_time >= v.event_time - to_seconds({window}) {more}
-  QUALIFY row_number() OVER (PARTITION BY v.id, v.user_id ORDER BY c.event_time DESC NULLS LAST, c.id DESC NULLS LAST) = 1"""
+  QUALIFY row_number() OVER (PARTITION BY v.id, v.user_id ORDER BY c.event_time DESC NULLS LAST, CAST(c.id AS VARCHAR) DESC NULLS LAST) = 1"""
 
 
 SQL_MARKED = """w AS (SELECT *, max(CASE WHEN kind = 'c' THEN event_time END) OVER x AS cw, max(CASE WHEN kind = 'v' THEN event_time END) OVER x AS vw FROM e
-  WINDOW x AS (PARTITION BY "partition" ORDER BY arr, "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+  WINDOW x AS (PARTITION BY "partition" ORDER BY arr, kind, "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 _LATE = "cw IS NOT NULL AND vw IS NOT NULL AND event_time <= least(cw, vw) - to_seconds({})"
 SQL_SAID = f"""{SQL_MARKED}, s AS (SELECT *, CASE WHEN {_LATE.format(CFG.lateness)} THEN 'event_time before watermark cutoff' END AS reason FROM w)"""
 
@@ -89,6 +90,18 @@ def truncate_event_time(spark, d):
     return events(spark, d).select("id", F.date_trunc("second", "event_time").cast("timestamp_ntz").alias("event_time"))
 
 
+#: A time's text in one of eight forms by id; those of 5 to 7 are none.
+@query("""SELECT id, CASE WHEN id % 8 < 5 THEN date_trunc('second', CASE id % 8 WHEN 1 THEN date_trunc('minute', event_time) ELSE event_time END) - CASE WHEN id % 8 = 4 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END END AS event_time,
+  id % 8 IN (5, 6) AS bad FROM e""")
+def lenient_times(spark, d):
+    as_text = lambda form: F.date_format("event_time", form)
+    forms = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss'Z'", "' 'yyyy-MM-dd'T'HH:mm:ss.SSS'Z '", "yyyy-MM-dd'T'HH:mm:ss'+02:00'", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
+    text = F.lit("  ")
+    for i, form in enumerate(forms):
+        text = F.when(F.col("id") % 8 == i, as_text(form)).otherwise(text)
+    return events(spark, d).withColumn("text", text).select("id", lenient_timestamp(F.col("text")).cast("timestamp_ntz").alias("event_time"), bad_timestamp(F.col("text")).alias("bad"))
+
+
 # ---- validation, watermarks, dead letters
 
 def _faulty(e: DataFrame) -> DataFrame:
@@ -124,8 +137,8 @@ def joined_watermark(spark, d):
     return quality.joined_watermark(events(spark, d))
 
 
-@query(""" SELECT "partition", max(CASE WHEN kind = 'c' THEN event_time END) AS joined_watermark FROM e WHERE kind = 'c' OR id % 4 = 0 GROUP BY 1
-HAVING max(CASE WHEN kind = 'c' THEN event_time END) IS NOT NULL""".replace("max(CASE WHEN kind = 'c' THEN event_time END) AS", "greatest(max(CASE WHEN kind = 'c' THEN event_time END), least(max(CASE WHEN kind = 'c' THEN event_time END), max(CASE WHEN kind = 'v' THEN event_time END))) AS"))
+@query(""", j AS (SELECT "partition", max(event_time) FILTER (kind = 'c') AS cw, max(event_time) FILTER (kind = 'v') AS vw FROM e WHERE kind = 'c' OR id % 4 = 0 GROUP BY 1)
+SELECT "partition", greatest(cw, least(cw, vw)) AS joined_watermark FROM j WHERE cw IS NOT NULL""")
 def joined_watermark_idle_views(spark, d):
     e = events(spark, d).where("kind = 'c' or id % 4 = 0")
     return quality.joined_watermark(e, idle="v").where("joined_watermark is not null").select("partition", "joined_watermark")
@@ -138,7 +151,7 @@ def too_late_events(spark, d):
 
 _CLASSIFIED = f"""{_FAULTY}, g AS (SELECT *, CASE WHEN event_time IS NULL THEN 'missing event_time' WHEN user_id IS NULL THEN 'missing user_id' WHEN {_AHEAD} THEN 'event_time too far in future' END AS first FROM f),
 m AS (SELECT *, max(CASE WHEN kind = 'c' THEN event_time END) OVER x AS cw, max(CASE WHEN kind = 'v' THEN event_time END) OVER x AS vw FROM g WHERE first IS NULL
-  WINDOW x AS (PARTITION BY "partition" ORDER BY arr, "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  WINDOW x AS (PARTITION BY "partition" ORDER BY arr, kind, "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 said AS (SELECT kind, "partition", "offset", first AS reason FROM g WHERE first IS NOT NULL UNION ALL
   SELECT kind, "partition", "offset", 'event_time before watermark cutoff' FROM m WHERE {_LATE.format(CFG.lateness)})"""
 
@@ -153,6 +166,23 @@ def dead_letter_envelope(spark, d):
     return _dead(spark, d).drop("payload")
 
 
+_PAYLOAD = """'{"user_id":"' || user_id || '","event_time":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') || '",' || CASE WHEN kind = 'c' THEN '"campaign_id":"' || campaign_id || '","click_id":"' ELSE '"url":"' || url || '","event_id":"' END || id || '"}'"""
+
+
+#: Raw records with JSON payloads; every 11th is cut short. A dead letter has the payload as it came.
+@query(f""", t AS (SELECT * REPLACE (date_trunc('second', event_time) AS event_time), {_PAYLOAD} AS whole FROM e),
+p AS (SELECT *, CASE WHEN id % 11 = 0 THEN left(whole, len(whole) - 3) ELSE whole END AS payload, CASE WHEN id % 11 = 0 THEN CASE WHEN kind = 'c' THEN 'ad_click parse failed' ELSE 'page_view parse failed' END END AS first FROM t),
+m AS (SELECT *, max(CASE WHEN kind = 'c' THEN event_time END) OVER x AS cw, max(CASE WHEN kind = 'v' THEN event_time END) OVER x AS vw FROM p WHERE first IS NULL
+  WINDOW x AS (PARTITION BY "partition" ORDER BY arr, kind, "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+said AS (SELECT kind, "partition", "offset", first AS reason, payload FROM p WHERE first IS NOT NULL UNION ALL
+  SELECT kind, "partition", "offset", 'event_time before watermark cutoff', payload FROM m WHERE {_LATE.format(CFG.lateness)})
+SELECT CASE WHEN kind = 'c' THEN 'ad_clicks' ELSE 'page_views' END || ':' || "partition" || ':' || "offset" AS "key", reason, payload FROM said""")
+def dead_letter_payload(spark, d):
+    raw = raw_records(spark, d)
+    raw = raw.withColumn("value", F.when(F.col("offset") % 11 == 0, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value")))
+    return quality.dead_letters(quality.classify(parse(raw), F.col("arr"), CFG), CFG).select("key", "reason", "payload")
+
+
 @query(f", {_CLASSIFIED} SELECT reason, count(*) AS n FROM said GROUP BY 1")
 def dead_letter_by_reason(spark, d):
     return _dead(spark, d).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
@@ -188,7 +218,9 @@ def duplicate_source_offsets(spark, d):
 # ---- attribution
 
 def _attribution(window: int, strategy: str):
-    return lambda spark, d: asof.attribute(views(spark, d), clicks(spark, d), window, strategy)
+    if strategy == "range":
+        return lambda spark, d: asof.attribute(views(spark, d), clicks(spark, d), window, strategy)
+    return lambda spark, d: asof.attribute_events(events(spark, d), window, strategy)
 
 
 for _name, _window, _strategy in (("attribute_last_touch", 30 * MINUTE, "slots"), ("attribute_last_touch_3h", 3 * HOUR, "slots"), ("attribute_last_touch_24h", 24 * HOUR, "slots"),
@@ -200,12 +232,19 @@ for _name, _window, _strategy in (("attribute_last_touch", 30 * MINUTE, "slots")
 {sql_attribute(24 * HOUR, "hv", "hc")}""")
 def attribute_ties(spark, d):
     hour = F.date_trunc("hour", "event_time").cast("timestamp_ntz")
-    return asof.attribute(views(spark, d).withColumn("event_time", hour), clicks(spark, d).withColumn("event_time", hour), 24 * HOUR)
+    return asof.attribute_events(events(spark, d).withColumn("event_time", hour), 24 * HOUR)
 
 
-def _accepted(spark, d) -> tuple[DataFrame, DataFrame]:
-    ok = quality.classify(events(spark, d), F.col("arr"), CFG).where("reason is null")
-    return ok.where("kind = 'v'"), ok.where("kind = 'c'")
+#: Times of half days, so that many clicks share one: ids of different lengths are told apart as strings.
+@query(f""", h AS (SELECT * REPLACE (time_bucket(INTERVAL 12 HOUR, event_time) AS event_time, 'e' || id AS id) FROM e), hv AS (SELECT * FROM h WHERE kind = 'v'), hc AS (SELECT * FROM h WHERE kind = 'c')
+{sql_attribute(24 * HOUR, "hv", "hc")}""")
+def attribute_ties_of_strings(spark, d):
+    half = F.window(F.col("event_time").cast("timestamp"), "12 hours")["start"].cast("timestamp_ntz")
+    return asof.attribute_events(events(spark, d).withColumns({"event_time": half, "id": F.concat(F.lit("e"), "id")}), 24 * HOUR)
+
+
+def _accepted(spark, d) -> DataFrame:
+    return quality.classify(events(spark, d), F.col("arr"), CFG).where("reason is null")
 
 
 _ACCEPTED = f"{SQL_SAID}, ac AS (SELECT * FROM s WHERE reason IS NULL AND kind = 'c'), av AS (SELECT * FROM s WHERE reason IS NULL AND kind = 'v')"
@@ -213,7 +252,7 @@ _ACCEPTED = f"{SQL_SAID}, ac AS (SELECT * FROM s WHERE reason IS NULL AND kind =
 
 @query(f", {_ACCEPTED} {sql_attribute(3 * HOUR, 'av', 'ac')}")
 def attribute_accepted_only(spark, d):
-    return asof.attribute(*_accepted(spark, d), 3 * HOUR)
+    return asof.attribute_events(_accepted(spark, d), 3 * HOUR)
 
 
 @query(f", a AS ({sql_attribute(24 * HOUR)}) SELECT page_view_id, user_id FROM a WHERE attributed_click_id IS NOT NULL")
@@ -226,7 +265,7 @@ def unattributed_views(spark, d):
     return _attribution(24 * HOUR, "slots")(spark, d).where("attributed_click_id is null").select("page_view_id", "user_id")
 
 
-_BEFORE = 'AND (c.arr, c."offset") < (v.arr, v."offset")'
+_BEFORE = 'AND (c.arr, c.kind, c."offset") < (v.arr, v.kind, v."offset")'
 
 
 def _initial(spark, d) -> DataFrame:
@@ -261,7 +300,7 @@ def top_campaigns(spark, d):
 #: The table holds the attribution of a 3 h window; rows of a 24 h window come for the even views, and of none for the rest.
 @query(f""", o AS ({sql_attribute(3 * HOUR)}), n AS ({sql_attribute(24 * HOUR)}),
 r AS (SELECT *, 0 AS seq FROM o UNION ALL SELECT *, 1 FROM n WHERE page_view_id % 2 = 0 UNION ALL SELECT page_view_id, user_id, event_time, url, NULL, NULL, NULL, 1 FROM n WHERE page_view_id % 2 = 1)
-SELECT {_OUT} FROM r QUALIFY row_number() OVER (PARTITION BY page_view_id, user_id ORDER BY attributed_click_time DESC NULLS LAST, attributed_click_id DESC NULLS LAST, seq DESC) = 1""")
+SELECT {_OUT} FROM r QUALIFY row_number() OVER (PARTITION BY page_view_id, user_id ORDER BY attributed_click_time DESC NULLS LAST, CAST(attributed_click_id AS VARCHAR) DESC NULLS LAST, seq DESC) = 1""")
 def upsert_merge_guard(spark, d):
     old, new = (_attribution(w, "slots")(spark, d) for w in (3 * HOUR, 24 * HOUR))
     none = {c: F.lit(None).cast(dict(new.dtypes)[c]) for c in ("attributed_campaign_id", "attributed_click_id", "attributed_click_time")}
@@ -330,8 +369,7 @@ SELECT (SELECT count(*) FROM c) AS clicks_consumed, (SELECT count(*) FROM v) AS
   (SELECT count(*) FROM s WHERE reason IS NOT NULL) AS dead_letters""")
 def counters_snapshot(spark, d):
     e = quality.classify(events(spark, d), F.col("arr"), CFG)
-    a = asof.attribute(*_accepted(spark, d), 3 * HOUR)
-    return observe.counters(e, a, e.where("reason is not null"))
+    return observe.counters(asof.attribute_events(e, 3 * HOUR, every=True))
 
 
 @query("""SELECT i, bucket, count(t.x) AS n FROM (VALUES (0, '<=1s'), (1, '<=5s'), (2, '<=15s'), (3, '<=60s'), (4, '<=300s'), (5, '>300s')) AS b(i, bucket)
@@ -353,6 +391,17 @@ def recent_attributions(spark, d):
     return observe.recent(a, 20, "event_time", "page_view_id").select("page_view_id", "attributed_click_id")
 
 
+#: The bounded log of 500 ids: the newest of all events, which arrive up to three times, and of attributed views.
+@query(f""", {_COPIED}, f AS (SELECT id, (arg_min(ROW(arr, kind, "offset"), ROW(arr, kind, "offset"))) AS f FROM d GROUP BY id), a AS ({sql_attribute(24 * HOUR)}),
+g AS (SELECT v.id, ROW(v.arr, v.kind, v."offset") AS f FROM v JOIN a ON v.id = a.page_view_id WHERE a.attributed_click_id IS NOT NULL),
+r AS (SELECT 'live' AS ring, id, f, row_number() OVER (ORDER BY f DESC) - 1 AS place FROM f UNION ALL SELECT 'attributed', id, f, row_number() OVER (ORDER BY f DESC) - 1 FROM g)
+SELECT ring, id, f[1] AS "at", CAST(place AS INT) AS place FROM r WHERE place < 500""")
+def event_log_rings(spark, d):
+    e = events(spark, d)
+    found = _attribution(24 * HOUR, "slots")(spark, d).where("attributed_click_id is not null").select(F.col("page_view_id").alias("id"))
+    return observe.event_log(_copied(e), e.join(found, "id"), 500)
+
+
 @query("SELECT kind, id, user_id, event_time, campaign_id, url FROM e WHERE id = (SELECT max(event_id) FROM events WHERE event_type IN ('click', 'view'))")
 def event_by_id(spark, d):
     e = events(spark, d)
