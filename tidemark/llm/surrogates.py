@@ -2,7 +2,7 @@
 
 Surrogates of numbers, addresses and secrets come from a keyed permutation of all strings of the same shape
 (a Feistel network that is walked until it stays in range), so different originals stay different and equal ones
-equal, everywhere in the corpus. Kept are a card's issuer digit and check digit rule, a phone's country code, an
+equal, everywhere in the corpus. Kept are a card's issuer digit and a right check digit, a phone's country code, an
 address's top-level domain, an IP address's private range and a secret's known prefix. People named with a title
 get another name of the same gender and script. Names are drawn by a keyed hash and may meet; each further draw adds a
 syllable, so there are always enough of them. A surname's surrogate depends on its word alone, whatever the title and
@@ -16,7 +16,7 @@ surrogate may be another's original, and all draw again together until none is i
 keeps them different. A string without another one of its shape stays. The exceptions go to the documents that
 mention them by a join.
 
-Null and empty texts stay empty and have no spans; repeated rows get equal results.
+Null and empty texts stay empty and have no spans; repeated rows get equal results. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -28,12 +28,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import SMALL_IDS, cut, keyed, load
+from .common import SMALL_IDS, cut, frugal, keyed, load
 from .runs import with_lists
 
-DEFAULT_KEY = b"replace this key in production"
+#: The session's setting that holds the key of the registered query and the pipeline, and what they take where it is unset.
+KEY_SETTING, SHOWN_KEY = "spark.tidemark.surrogates.key", "for tests and demonstrations only"
 #: A range is dense if its originals times this are more than its strings; in others a draw meets nothing 3 times of 4.
 DENSE = 8
 
@@ -117,6 +118,12 @@ def luhn(digits: str) -> int:
     return -total % 10
 
 
+def is_card(text: str) -> bool:
+    """Whether digits are a payment card's: an issuer's first digit, and the check digit is right. Other long numbers stay."""
+    d = "".join(filter(str.isdigit, text))
+    return d[0] in "23456" and luhn(d[:-1]) == int(d[-1])
+
+
 def _fill(shape: str, digits: str) -> str:
     """The digits put in the places of the shape's digits."""
     rest = iter(digits)
@@ -157,7 +164,7 @@ def place(kind: str, text: str) -> tuple[str, int]:
         return f"ip/{net}", net.num_addresses if net else (1 << 32) - sum(n.num_addresses for n in _PRIVATE)
     if kind == "card":
         d = "".join(filter(str.isdigit, text))
-        return f"card/{d[0]}/{luhn(d[:-1]) == int(d[-1])}/{_shape(text)[0]}", 10 ** (len(d) - 2)
+        return f"card/{d[0]}/{_shape(text)[0]}", 10 ** (len(d) - 2)
     if kind == "phone":
         head = _HEAD.match(text).group()
         rest = text[len(head) :]
@@ -199,9 +206,7 @@ def surrogate(key: bytes, kind: str, text: str, draw: int = 0) -> str:
     if kind == "card":
         d = "".join(filter(str.isdigit, text))
         body = d[0] + reshape(key, f"{tweak}/{d[0]}", d[1:-1])
-        valid = luhn(d[:-1]) == int(d[-1])
-        last = luhn(body) if valid else (luhn(body) + 1 + permute(key, tweak + body, (int(d[-1]) - luhn(d[:-1]) - 1) % 10, 9)) % 10
-        return _fill(text, body + str(last))
+        return _fill(text, body + str(luhn(body)))
     if kind == "phone":
         head = _HEAD.match(text).group()
         rest = text[len(head) :]
@@ -240,7 +245,7 @@ def detect(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "email") for m in _EMAIL.finditer(text)]
     if any(d in text for d in "0123456789"):
         found += [(*m.span(), "ip") for m in _IP.finditer(text)]
-        found += [(*m.span(), "card") for m in _CARD.finditer(text)]
+        found += [(*m.span(), "card") for m in _CARD.finditer(text) if is_card(m.group())]
         found += [(*m.span(), "phone") for m in _PHONE.finditer(text)]
         found += [(*m.span(), "ssn") for m in _SSN.finditer(text)]
         found += [(*m.span(), "iban") for m in _IBAN.finditer(text)]
@@ -305,13 +310,13 @@ def draws(originals: DataFrame, key: bytes, rounds: int | None = None) -> DataFr
     """kind, original, draw of the originals whose first surrogate met another's or an original. rounds: an error after
     so many; None: until nothing meets, which each round brings nearer."""
     schema = "kind string, original string, place string, draw int, surrogate string"
-    of = cut(originals.select("kind", "original").mapInArrow(_places, "kind string, original string, place string, strings long"))
+    of = cut(originals.select("kind", "original").mapInArrow(frugal(_places), "kind string, original string, place string, strings long"))
     dense = of.where("place is not null").groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.first("strings").alias("m")).where(F.col("n") > F.col("m") / DENSE)
     dense = cut(dense.select("place", "m"))
     small = F.broadcast if dense.count() <= SMALL_IDS else lambda df: df  # a join by place would put one range into one task
     # place: null if not dense, empty for a string that is the only one of its shape
     of = of.join(small(dense), "place", "left").select("kind", "original", F.when(F.col("m") == 1, "").when(F.col("m") > 1, F.col("place")).alias("place"))
-    now = cut(of.withColumn("draw", F.lit(0)).select("kind", "original", "place", "draw").mapInArrow(_draw(key), schema))
+    now = cut(of.withColumn("draw", F.lit(0)).select("kind", "original", "place", "draw").mapInArrow(frugal(_draw(key)), schema))
     n = 0
     while rounds is None or n < rounds:
         n += 1
@@ -325,7 +330,7 @@ def draws(originals: DataFrame, key: bytes, rounds: int | None = None) -> DataFr
         met = cut(met.select("kind", "original", "place", "draw", "surrogate", "again"))
         if met.where("again").isEmpty():
             return now.where("draw > 0").select("kind", "original", "draw")
-        new = met.where("again").select("kind", "original", "place", (F.col("draw") + 1).alias("draw")).mapInArrow(_draw(key), schema)
+        new = met.where("again").select("kind", "original", "place", (F.col("draw") + 1).alias("draw")).mapInArrow(frugal(_draw(key)), schema)
         now = cut(met.where("not again").drop("again").unionAll(new))
     raise ValueError(f"surrogates still meet after {rounds} draws")
 
@@ -374,11 +379,19 @@ def _replace(key: bytes):
     return run
 
 
-def replace_private(docs: DataFrame, key: bytes = DEFAULT_KEY, rest: list[str] = ()) -> DataFrame:
+def key_of(spark: SparkSession) -> bytes:
+    """The key that the session is set to."""
+    return spark.conf.get(KEY_SETTING, SHOWN_KEY).encode()
+
+
+def replace_private(docs: DataFrame, key: bytes, rest: list[str] = ()) -> DataFrame:
     """A row for each row of docs: doc_id, th (of the original text), text with surrogates, spans (start and stop in
-    the original, kind, surrogate), and rest: a struct of the named other columns."""
+    the original, kind, surrogate), and rest: a struct of the named other columns. key: what surrogates are drawn by; who
+    has it can tell whether a surrogate may be that of a known original."""
+    if not key:
+        raise ValueError("surrogates need a key")
     d = keyed(docs)
-    mentions = cut(d.mapInArrow(_mentions, "doc_id long, th long, kind string, original string"))
+    mentions = cut(d.mapInArrow(frugal(_mentions), "doc_id long, th long, kind string, original string"))
     again = cut(draws(mentions.select("kind", "original").distinct(), key))
     lists = mentions.join(again, ["kind", "original"]).groupBy("doc_id", "th").agg(F.collect_list(F.struct("kind", "original", "draw")).alias("at"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -386,10 +399,10 @@ def replace_private(docs: DataFrame, key: bytes = DEFAULT_KEY, rest: list[str] =
     long, string = T.LongType(), T.StringType()
     span = T.StructType([T.StructField(n, t) for n, t in (("start", T.IntegerType()), ("stop", T.IntegerType()), ("kind", string), ("surrogate", string))])
     schema = T.StructType([T.StructField(n, t) for n, t in (("doc_id", long), ("th", long), ("rest", full.schema["rest"].dataType), ("text", string), ("spans", T.ArrayType(span)))])
-    return with_lists(full, cut(lists), 64, "left").mapInArrow(_replace(key), schema)
+    return with_lists(full, cut(lists), 64, "left").mapInArrow(frugal(_replace(key)), schema)
 
 
 def op10_surrogates(spark, sf_dir: str) -> DataFrame:
-    out = replace_private(load(spark, sf_dir, "documents"))
+    out = replace_private(load(spark, sf_dir, "documents"), key_of(spark))
     kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("spans", lambda s: F.split_part(s["kind"], F.lit("/"), F.lit(1))))), ",")
     return out.select("doc_id", F.size("spans").cast("long").alias("n_entities"), kinds.alias("kinds"), "text")
