@@ -1,4 +1,10 @@
-"""Documents to training sequences: STAGES in order, each over all that the one before it kept."""
+"""Documents to training sequences: STAGES in order, each over all that the one before it kept.
+
+Every stage takes documents as they come: a null text is an empty one, which no filter drops but as a copy of none; a row
+without a doc_id is kept by the near-duplicate stage and like any other elsewhere; repeated rows are decided alike (the
+near-duplicate stage keeps them all, as they have one doc_id); other columns are left out; texts of any length are
+read whole; an empty table, or one without labels or benchmark items, gives what is left, with the same columns.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontam, neardup, packing, surrogates, toxicity
 from tidemark.llm.common import checkpoint_dir, load
+from tidemark.llm.runs import discard
 
 #: The columns of documents that a stage returns, but the last.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -30,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates in place of personal data; n_chars follows the text."""
-    out = surrogates.replace_private(docs, rest=["lang", "source"])
+    out = surrogates.replace_private(docs, surrogates.key_of(spark), rest=["lang", "source"])
     return out.select("doc_id", "text", "rest.lang", "rest.source", F.length("text").cast(dict(docs.dtypes)["n_chars"]).alias("n_chars"))
 
 
@@ -52,10 +59,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of documents; each stage's result is a table in the shared folder."""
-    docs = load(spark, sf_dir, "documents")
+    """The packed pieces of documents. Each stage's result is a table in the shared folder, which goes when the next one is
+    there; packing has stored its pieces when it returns."""
+    docs, base = load(spark, sf_dir, "documents"), f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        docs = spark.read.parquet(f"{base}/{name}")
+        docs._stored_at = f"{base}/{name}"
+        if before is not None:
+            discard(before)
+        before = docs
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    discard(before)
+    return out
