@@ -4,6 +4,7 @@ import glob
 import os
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -13,7 +14,7 @@ from tests.helpers import same
 from tests.llm.helpers import empty, frame, mixed_documents
 from tests.llm.test_neardup import brute_force, near_group
 from tests.llm.test_text_operators import contaminated, labelled
-from tidemark.llm import neighbours, packing, queries, tokencounts, toxicity
+from tidemark.llm import neighbours, packing, queries, suffixes, tokencounts, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -75,7 +76,7 @@ def test_token_counts_of_added_tokens(tokenizer):
     count = tokencounts.Counter("byte_bpe_50k.json")
     want = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids)
     for text in marked_texts(5) + [" ".join(marked_texts(6))]:
-        tree = tokencounts.Tree(*tokencounts.leaves(count, text))
+        tree = tokencounts.Tree.over(*tokencounts.leaves(count, text))
         assert tree.tokens[1] == want(text), text
         edits = [{"pos": rnd.randint(0, len(text)), "cut": rnd.choice([0, 1, 4, 13]), "put": rnd.choice(["", " ", "<|endoftext|>", "|>", "x"])} for _ in range(3)]
         new, _ = tokencounts.edit(count, text, tree, tokencounts.ordered(edits, len(text)))
@@ -93,6 +94,15 @@ def test_local_search():
         assert len(packing.pack(sizes, most)) <= len(start) and len(alone) <= len(start) + 3
 
 
+def test_bounds_of_the_search_cost_nothing(monkeypatch):
+    rnd = random.Random(2)
+    some = [[min(1024, int(rnd.lognormvariate(5.6, 1))) or 1 for _ in range(600)], [rnd.randint(300, 520) for _ in range(500)], [rnd.choice([200, 341, 342, 513, 700]) for _ in range(500)]]
+    bound = [len(packing.pack(sizes, 1024)) for sizes in some]
+    for name in ("PLACES", "SECONDS", "ROUNDS", "STEPS"):
+        monkeypatch.setattr(packing, name, 1 << 20)
+    assert bound == [len(packing.pack(sizes, 1024)) for sizes in some]
+
+
 def test_exchange_empties_a_bin():
     # best fit can't do it: 6+3 | 5+4 | 2 with room 10 needs 6+4 | 5+3+2
     assert len(packing.LocalSearch([6, 3, 5, 4, 2], [[0, 1], [2, 3], [4]], 10).run()) == 2
@@ -101,8 +111,8 @@ def test_exchange_empties_a_bin():
 # ---- nearest neighbours
 
 def exact(rows, k):
-    ok = [(i, np.array(v, float)) for i, v in rows if i is not None and v and len(v) == 8 and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    return {q: [i for _, i in sorted((-float((v * x).sum()), i) for i, v in ok if i != q)[:k]] for q, x in ok if q % 20 == 0}
+    ok = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    return {q: [i for _, i in sorted((-float((v * x).sum()), i) for i, v in ok if i != q and len(v) == len(x))[:k]] for q, x in ok if q % 20 == 0 and any(len(v) == len(x) and i != q for i, v in ok)}
 
 
 def found(df):
@@ -113,11 +123,12 @@ def found(df):
     return out
 
 
-def test_neighbours_are_exact_in_one_partition(spark, monkeypatch):
+def test_neighbours_are_exact_in_one_part(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 50)
+    monkeypatch.setattr(neighbours, "MOST_PARTS", 1)
     rnd = np.random.default_rng(3)
     rows = [(i, rnd.normal(size=8).tolist()) for i in range(300)] + [(1000 + i, [1.0] * 8) for i in range(120)]  # one very common vector
-    rows += [(2000, None), (2020, []), (2040, [0.0] * 8), (2060, [1.0, None] * 4), (2080, [float("nan")] * 8), (2100, [float("inf")] * 8), (2120, [1.0] * 3), (None, [1.0] * 8)]
+    rows += [(2000, None), (2020, []), (2040, [0.0] * 8), (2060, [1.0, None] * 4), (2080, [float("nan")] * 8), (2100, [float("inf")] * 8), (2120, [1.0] * 3), (2140, [2.0] * 3), (2141, [-1.0, 0.5, 0.0]), (2160, [4.0] * 5), (None, [1.0] * 8)]
     d = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, score string")
     rows = [(i, np.array(v, np.float32).tolist() if v and None not in v else v) for i, v in rows]
     assert found(neighbours.nearest(d, lambda i: i % 20 == 0)) == exact(rows, 20)
@@ -126,15 +137,36 @@ def test_neighbours_are_exact_in_one_partition(spark, monkeypatch):
     assert neighbours.nearest(few.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+def recall(got, want):
+    return np.mean([len(set(got[q]) & set(w)) / len(w) for q, w in want.items()])
+
+
 def test_neighbours_recall(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "PART", 150)
+    monkeypatch.setattr(neighbours, "BLOCK", 300)
+    monkeypatch.setattr(neighbours, "QUERIES", 40)
     rnd = np.random.default_rng(4)
     centers = rnd.normal(size=(30, 8)) * 3
     x = (centers[rnd.integers(0, 30, 3000)] + rnd.normal(size=(3000, 8))).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     got, want = found(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), lambda i: i % 20 == 0)), exact(rows, 20)
-    assert set(got) == set(want)
-    assert np.mean([len(set(got[q]) & set(w)) / 20 for q, w in want.items()]) >= 0.9
+    assert set(got) == set(want) and recall(got, want) >= 0.9
+
+
+def test_neighbours_of_the_table(spark):
+    """Every query of the table, whose vectors have hardly any clusters, against all rows."""
+    got = neighbours.op9_neighbours(spark, "/root/testdata/sf0.1")
+    assert dict(got.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"}
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    want, got = exact(rows, 20), found(got)
+    assert set(got) == set(want) and all(len(g) == 20 for g in got.values()) and recall(got, want) >= 0.9
+
+
+def test_parts_are_few_of_clustered_vectors():
+    rnd = np.random.default_rng(8)
+    centers = rnd.normal(size=(64, 16)) * 2
+    x = centers[rnd.integers(0, 64, 4000)] + rnd.normal(size=(4000, 16)) * 0.5
+    router, probes = neighbours.learn(x, 64, 12, 0.94)
+    assert probes <= 16
 
 
 def test_balanced_parts():
@@ -142,7 +174,7 @@ def test_balanced_parts():
     x = rnd.normal(size=(800, 6))
     links = neighbours.graph(x, 8)
     part = neighbours.balanced(x, links, 8)
-    assert np.bincount(part, minlength=8).max() <= 106
+    assert np.bincount(part, minlength=8).max() <= 127
     assert (part[links] == part[:, None]).mean() > 2 / 8
 
 
@@ -181,6 +213,59 @@ def test_pipeline(spark, tmp_path, tokenizer):
     check_packing(list(private.items()), corpus_pipeline.run(spark, d).collect(), tokenizer)
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Each stage and the whole with nulls in any column, repeated rows, a long text, other columns, and empty tables."""
+    import corpus_pipeline
+
+    columns = "doc_id long, text string, lang string, source string, n_chars long, th string, score string, kept string, at string, component_id string"
+    long = " ".join(f"w{i % 9973}" for i in range(150_000))
+    rows = [(None, "no id here", None, None, None), (1, None, "en", "s", None), (2, "", None, "s", 0), (3, "twice the same", "en", None, 14), (3, "twice the same", "en", None, 14), (4, long, "en", "s", len(long)),
+            (5, "mail a.b@c.com from No. 5", "en", "s", 20), (6, long, "de", "s", len(long))]
+    tables = {"documents": (rows, columns), "labels": ([(1, 1), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int"), "benchmark": ([(1, None), (None, "x"), (2, "")], "item_id long, text string")}
+    for empty_one in (None, *tables, "all"):
+        d = f"{tmp_path}/{empty_one}"
+        for t, (r, schema) in tables.items():
+            r = [] if empty_one in (t, "all") else [(*x, *"abcde") for x in r] if t == "documents" else r
+            spark.createDataFrame(r, schema).write.parquet(f"{d}/{t}.parquet")
+        docs = spark.read.parquet(f"{d}/documents.parquet")
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            got = stage(spark, docs, d)
+            assert got.columns == corpus_pipeline.COLUMNS, name
+            docs = spark.createDataFrame(got.collect(), got.schema)
+            assert docs.count() == (n if name == "toxicity" else max(0, n - 1)), name  # the long text stands there twice
+        want = docs.count()
+        out = corpus_pipeline.run(spark, d)
+        assert out.select("doc_id").distinct().count() == max(0, want - 1) and (want == 0) == out.isEmpty()
+
+
+@pytest.mark.parametrize("name,columns", {
+    "op1_toxicity": "doc_id bigint, held_out boolean, score double, predicted int", "op2_suffixes": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op3_minhash": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean", "op4_decontam": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+    "op5_counts": "doc_id bigint, n_before bigint, n_after bigint, n_again bigint, text_sha256 string", "op6_repeats": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
+    "op7_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint", "op8_language": "page_id bigint, lang string, probability double",
+    "op10_surrogates": "doc_id bigint, n_entities bigint, kinds string, text string"}.items())
+def test_query(spark, name, columns):
+    """Every query gives a row for each row of its table, or piece, with the columns and types that its contract has."""
+    got = queries.queries()[name](spark, "/root/testdata/sf0.001")
+    types = dict(got.dtypes)
+    assert {c.split()[0]: c.split()[1] for c in columns.split(", ")}.items() <= types.items()
+    table = "pages" if name == "op8_language" else "documents"
+    ids = Counter(r[0] for r in spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").select("page_id" if table == "pages" else "doc_id").collect())
+    rows = got.collect()
+    assert Counter(r[0] for r in rows if name != "op7_packing" or r.piece == 0) == ids
+    if name == "op1_toxicity":
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_suffixes_query_against_brute_force(spark):
+    """op2 on a whole table of 1,000 documents, byte by byte."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    want = suffixes.brute_force([(r.text or "").encode() for r in d], 200)
+    got = suffixes.op2_suffixes(spark, "/root/testdata/sf0.01").collect()
+    assert Counter(tuple(r) for r in got) == Counter((r.doc_id, *w) for r, w in zip(d, want)) and sum(r.n_removed for r in got) > 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     c = duckdb.connect()

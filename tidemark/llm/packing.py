@@ -23,12 +23,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut, keyed, load
+from .common import cut, frugal, keyed, load
 
 #: Pieces that one task packs, about. More only saves the last, underfull sequence of a group.
 GROUP_PIECES = 20_000
 #: Different words whose ids a Python worker keeps.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 150_000
+#: How far the local search looks: places of one size that it tries, second documents of a pair, rounds over the bins, and
+#: steps from one bin for each of its documents. They bound its time; a step that it doesn't see may cost a sequence, none
+#: in the tests' instances. Pieces are never dropped.
+PLACES, SECONDS, ROUNDS, STEPS = 8, 8, 8, 12
 
 
 class FastIds:
@@ -102,7 +106,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, most: int) -> DataFra
             yield pa.record_batch([pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                                   names=["doc_id", "th", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "th", "text").mapInArrow(pieces, "doc_id long, th long, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "th", "text").mapInArrow(frugal(pieces), "doc_id long, th long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: list[int], most: int) -> list[list[int]]:
@@ -162,7 +166,7 @@ class LocalSearch:
                 entries.pop()
             if not entries:
                 setattr(self, bits, getattr(self, bits) & ~(1 << v))
-            for e in entries[-8:]:
+            for e in entries[-PLACES:]:
                 if e[1] == self.stamp[e[0]] and fits(e):
                     return e
             rest &= rest - 1
@@ -187,7 +191,7 @@ class LocalSearch:
             if e := self._find(self.room, "has_room", n, lambda e: self._better(a, e[0], n)):
                 self._change(a, e[0], [i], None)
                 return True
-        pairs = [[i] for i in own] + [[i, j] for k, i in enumerate(own) for j in own[k + 1 : k + 9]]
+        pairs = [[i] for i in own] + [[i, j] for k, i in enumerate(own) for j in own[k + 1 : k + 1 + SECONDS]]
         for out in pairs:
             n = sum(self.sizes[i] for i in out)
             if n <= self.most and (e := self._find(self.place, "has_place", n, lambda e: self._better(a, e[0], n - self.sizes[e[2]]))):
@@ -195,12 +199,12 @@ class LocalSearch:
                 return True
         return False
 
-    def run(self, rounds: int = 8) -> list[list[int]]:
+    def run(self) -> list[list[int]]:
         """Rounds over the underfull bins, emptiest first, until one changes nothing."""
-        for _ in range(rounds):
+        for _ in range(ROUNDS):
             changed = False
             for a in sorted((b for b in self.open if self.bins[b] and self.fill[b] < self.most), key=lambda b: self.fill[b]):
-                for _ in range(12 * len(self.bins[a])):
+                for _ in range(STEPS * len(self.bins[a])):
                     if not self.bins[a] or self.fill[a] == self.most or not self._step(a):
                         break
                     changed = True

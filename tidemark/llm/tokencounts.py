@@ -2,13 +2,15 @@
 
 A document's text is parted where a space stands between two other characters; no pre-token of the tokenizer
 crosses such a place, and no added token (they have no white space), so parts can be counted apart. LEAF parts form a leaf; over the leaves stands a segment tree
-with sums of tokens and characters. An edit finds its leaves by descending the tree along the sums of characters.
-The touched leaves, with those whose border the edit may change, are encoded again as one; the rest, their counts
-and the sums beside the path to the root stay as they are.
+with sums of tokens and characters, kept with the document as two arrays of its nodes. An edit finds its leaves by
+descending the tree along the sums of characters. The touched leaves, with those whose border the edit may change, are
+encoded again as one; the rest, their counts and the sums beside the path to the root stay as they are. What apply_edits
+returns can be stored and edited again, as often as one likes.
 
 Nulls and empty texts have one empty leaf. Edits are (pos, cut, put) in characters of the text before any edit,
 sorted by place; one that begins before the end of an earlier one begins there, and one beyond the text's end
-appends. A null list is no edit, a null field is zero or empty. Repeated rows are separate documents.
+appends. Of edits at one place the shorter cut comes first, then the smaller text. A null list is no edit, a null field is
+zero or empty. Repeated rows are separate documents; an empty table gives no rows. A text of any length has one tree.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import keyed, load
+from .common import frugal, keyed, load
 from .packing import WORDS_KEPT, encoder
 
 #: Parts of a leaf.
@@ -58,15 +60,24 @@ def leaves(count: Counter, text: str) -> tuple[list[int], list[int]]:
 
 
 class Tree:
-    """Sums over leaves: node 1 is the root, node i has the children 2i and 2i + 1."""
+    """Sums over leaves: node 1 is the root, node i has the children 2i and 2i + 1; the second half are the leaves."""
 
     def __init__(self, chars: list[int], tokens: list[int]):
-        self.n = 1 << max(0, (len(chars) - 1).bit_length())
-        self.chars = [0] * self.n + chars + [0] * (self.n - len(chars))
-        self.tokens = [0] * self.n + tokens + [0] * (self.n - len(tokens))
-        for i in range(self.n - 1, 0, -1):
-            self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
-            self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
+        """Both arrays as they were kept."""
+        self.n, self.chars, self.tokens = len(chars) // 2, chars, tokens
+
+    @classmethod
+    def over(cls, chars: list[int], tokens: list[int]) -> Tree:
+        """The tree over new leaves."""
+        n = 1 << max(0, (len(chars) - 1).bit_length())
+        tree = cls(*([0] * n + x + [0] * (n - len(x)) for x in (chars, tokens)))
+        for i in range(n - 1, 0, -1):
+            tree._sum(i)
+        return tree
+
+    def _sum(self, i: int) -> None:
+        for x in (self.chars, self.tokens):
+            x[i] = x[2 * i] + x[2 * i + 1]
 
     def find(self, at: int) -> tuple[int, int]:
         """The leaf that holds the character at a place (the last full one at the end), and where it begins."""
@@ -84,8 +95,7 @@ class Tree:
         self.chars[i], self.tokens[i] = chars, tokens
         while i > 1:
             i //= 2
-            self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
-            self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
+            self._sum(i)
 
 
 def ordered(edits: list[dict] | None, n: int) -> list[tuple[int, int, str]]:
@@ -117,38 +127,42 @@ def edit(count: Counter, text: str, tree: Tree, edits: list[tuple[int, int, str]
     return text, again
 
 
+TREE = "tree_chars array<int>, tree_tokens array<int>"
+
+
 def build(docs: DataFrame, tokenizer: str, keep: list[str] = ()) -> DataFrame:
-    """docs' text and keep columns with leaf_chars and leaf_tokens: the documents' trees, as their leaves."""
+    """docs' keep columns and text (null: empty) with tree_chars and tree_tokens: the documents' trees, by nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = Counter(tokenizer)
         for b in batches:
-            both = [leaves(count, t.as_py()) for t in b["text"]]
-            yield pa.record_batch([*b.columns, *(pa.array([x[i] for x in both], pa.list_(pa.int32())) for i in (0, 1))], names=[*b.schema.names, "leaf_chars", "leaf_tokens"])
+            trees = [Tree.over(*leaves(count, t.as_py())) for t in b["text"]]
+            both = (pa.array([getattr(t, x) for t in trees], pa.list_(pa.int32())) for x in ("chars", "tokens"))
+            yield pa.record_batch([*b.columns, *both], names=[*b.schema.names, "tree_chars", "tree_tokens"])
 
-    some = docs.select(*keep, "text")
+    some = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     fields = ", ".join(f"`{c}` {t}" for c, t in some.dtypes)
-    return some.mapInArrow(run, f"{fields}, leaf_chars array<int>, leaf_tokens array<int>")
+    return some.mapInArrow(frugal(run), f"{fields}, {TREE}")
 
 
 def apply_edits(trees: DataFrame, tokenizer: str, keep: list[str]) -> DataFrame:
-    """trees: what build() returns, with a column edits array<struct<pos:int,cut:int,put:string>>. Returns keep with
-    text (after the edits), leaf_chars, leaf_tokens, n_before, n_after, n_again (characters encoded again)."""
+    """trees: what build() or this returned, with a column edits array<struct<pos:int,cut:int,put:string>>. Returns keep with
+    text (after the edits), tree_chars, tree_tokens, n_before, n_after, n_again (characters encoded again)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = Counter(tokenizer)
         for b in batches:
             rows: list[tuple] = []
-            for text, chars, tokens, edits in zip(*(b[c] for c in ("text", "leaf_chars", "leaf_tokens", "edits"))):
+            for text, chars, tokens, edits in zip(*(b[c] for c in ("text", "tree_chars", "tree_tokens", "edits"))):
                 tree = Tree(chars.as_py(), tokens.as_py())
                 t, before = text.as_py(), tree.tokens[1]
                 new, again = edit(count, t, tree, ordered(edits.as_py(), len(t)))
-                rows.append((new, tree.chars[tree.n :], tree.tokens[tree.n :], before, tree.tokens[1], again))
+                rows.append((new, tree.chars, tree.tokens, before, tree.tokens[1], again))
             types = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int64())
             yield pa.record_batch([*(b[c] for c in keep), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))],
-                                  names=[*keep, "text", "leaf_chars", "leaf_tokens", "n_before", "n_after", "n_again"])
+                                  names=[*keep, "text", "tree_chars", "tree_tokens", "n_before", "n_after", "n_again"])
 
-    fields = ", ".join(f"`{c}` {t}" for c, t in trees.select(*keep).dtypes)
-    return trees.select(*keep, "text", "leaf_chars", "leaf_tokens", "edits").mapInArrow(
-        run, f"{fields}, text string, leaf_chars array<int>, leaf_tokens array<int>, n_before long, n_after long, n_again long")
+    fields = "".join(f"`{c}` {t}, " for c, t in trees.select(*keep).dtypes)
+    return trees.select(*keep, "text", "tree_chars", "tree_tokens", "edits").mapInArrow(
+        frugal(run), f"{fields}text string, {TREE}, n_before long, n_after long, n_again long")
 
 
 def sample_edits(text):
