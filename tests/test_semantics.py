@@ -10,7 +10,7 @@ from tests.helpers import BASE, EVENT, GOLDEN, GOLDEN_ROWS, event
 from tidemark.config import Config
 from tidemark.functions import bad_timestamp, lenient_timestamp
 from tidemark.operators import asof, dedup, observe, ops, quality, updates
-from tidemark.schema import RAW
+from tidemark.schema import ATTRIBUTED, RAW, create_attributed
 from tidemark.sources import parse
 
 CFG = Config(lateness=15 * 60)
@@ -185,6 +185,21 @@ def test_operations(spark):
     assert {r.partition: r.joined_watermark for r in quality.joined_watermark(e, idle="v").collect()}[1] == BASE + timedelta(minutes=30)
 
 
+def test_partitions_outside_the_topology(spark):
+    rows = [event(0, "c", "a", 30, "x"), event(1, "v", "a", 31, "y", partition=5)]
+    got = quality.classify(spark.createDataFrame(rows, EVENT), F.lit("2025-01-01").cast("timestamp"), CFG)
+    assert {r.id: r.reason for r in got.collect()} == {"x": None, "y": "partition outside the topology"}
+
+
+def test_table_is_created_once(spark):
+    for _ in range(2):
+        create_attributed(spark, "made_by_test")
+    try:
+        assert spark.table("made_by_test").columns == [c.split()[0] for c in ATTRIBUTED.split(", ")] + ["written_at"] and spark.table("made_by_test").count() == 0
+    finally:
+        spark.sql("DROP TABLE made_by_test")
+
+
 def test_config():
     with pytest.raises(ValueError):
         Config(lateness=16 * 60)

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..config import Config
+from .ops import retained
+from .quality import joined_watermark
+
 #: Upper bounds of the latency buckets in seconds, and their labels.
 BOUNDS = (1, 5, 15, 60, 300)
 LABELS = ("<=1s", "<=5s", "<=15s", "<=60s", "<=300s", ">300s")
@@ -49,6 +53,7 @@ def recent(events: DataFrame, n: int, *order: str) -> DataFrame:
 
 
 def by_id(events: DataFrame, event_id) -> DataFrame:
+    """The event's rows; none where it isn't known."""
     return events.where(F.col("id") == event_id)
 
 
@@ -65,6 +70,19 @@ def staleness(events: DataFrame, now) -> DataFrame:
     return at.select("kind", "partition", F.timestamp_diff("SECOND", F.col("at"), now).alias("seconds"))
 
 
+def dashboard(events: DataFrame, now, cfg: Config = Config()) -> DataFrame:
+    """A row for each configured partition, also those without events: partition, joined_watermark, seconds since it last
+    advanced, clicks in the state. It advanced when the later of both topics first reached its value."""
+    joined = joined_watermark(events).select("partition", "joined_watermark")
+    every = events.sparkSession.range(cfg.partitions).select(F.col("id").cast("int").alias("partition")).join(joined, "partition", "left")
+    marks = F.broadcast(joined.where("joined_watermark is not null"))  # a row for each source partition
+    reached = events.join(marks, "partition").where(F.col("event_time") >= F.col("joined_watermark")).groupBy("partition", "kind").agg(F.min("arr").alias("at"))
+    reached = reached.groupBy("partition").agg(F.max("at").alias("at"))
+    held = retained(events.where("kind = 'c'"), joined, cfg).groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
+    out = every.join(reached, "partition", "left").join(held, "partition", "left")
+    return out.select("partition", "joined_watermark", F.timestamp_diff("SECOND", F.col("at"), now).alias("seconds"), F.coalesce("n", F.lit(0)).alias("clicks"))
+
+
 def event_log(events: DataFrame, attributions: DataFrame, capacity: int = 500) -> DataFrame:
     """The bounded log: ring (live or attributed), id, at, place (from 0, newest first). live: the last `capacity` different
     ids by their first arrival; attributed: the same of the ids that reached an attribution, which consumption can't

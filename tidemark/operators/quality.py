@@ -22,6 +22,11 @@ def too_far_ahead(now: Column, cfg: Config) -> Column:
     return F.col("event_time") > now + seconds(cfg.skew)
 
 
+def outside(cfg: Config) -> Column:
+    """The reason of records from partitions that the topology doesn't have, else NULL."""
+    return F.when(~F.col("partition").between(0, cfg.partitions - 1), "partition outside the topology")
+
+
 def running_watermarks(valid: DataFrame, hours: int = 1) -> DataFrame:
     """valid with cw and vw: per partition, the greatest event_time of clicks and of views that arrived before the
     row. The order of arrival is that of arr, then topic, then offset, as in the stream. A partition's order is cut into slots of arrival time: each slot's maxima, then those of all slots before
@@ -44,10 +49,10 @@ def joined(cw: str = "cw", vw: str = "vw") -> Column:
 
 def classify(events: DataFrame, now: Column, cfg: Config = Config(), strict: bool = False) -> DataFrame:
     """events with reason: why an event is rejected, NULL if it is accepted. The order: what parsing says (column
-    failed, if there), the event's fields, a time too far ahead, a time before the cutoff. Rejected events of the
-    first three kinds move no watermark; late ones can't."""
+    failed, if there), a partition outside the topology, the event's fields, a time too far ahead, a time before the cutoff. Rejected events of all
+    kinds but the last move no watermark; late ones can't."""
     failed = F.col("failed") if "failed" in events.columns else F.lit(None).cast("string")
-    first = F.coalesce(failed, structural(strict), F.when(too_far_ahead(now, cfg), "event_time too far in future"))
+    first = F.coalesce(failed, outside(cfg), structural(strict), F.when(too_far_ahead(now, cfg), "event_time too far in future"))
     d = events.withColumn("reason", first)
     marked = running_watermarks(d.where("reason is null"))
     late = F.coalesce(F.col("event_time") <= joined() - seconds(cfg.lateness), F.lit(False))

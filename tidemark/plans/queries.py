@@ -408,6 +408,14 @@ def event_by_id(spark, d):
     return observe.by_id(e, e.agg(F.max("id")).first()[0]).select("kind", "id", "user_id", "event_time", "campaign_id", "url")
 
 
+@query(f""", {_CUT}, a AS (SELECT "partition", kind, min(arr) AS "at" FROM e JOIN j USING ("partition") WHERE event_time >= joined GROUP BY 1, 2), m AS (SELECT "partition", max("at") AS "at" FROM a GROUP BY 1),
+h AS (SELECT "partition", count(*) AS n FROM c JOIN j USING ("partition") WHERE NOT coalesce({_GONE}, false) GROUP BY 1)
+SELECT p."partition", joined AS joined_watermark, date_sub('second', "at", TIMESTAMP '{NOW}') AS seconds, coalesce(n, 0) AS clicks
+FROM (SELECT CAST(unnest(range(5)) AS INT) AS "partition") AS p LEFT JOIN j USING ("partition") LEFT JOIN m USING ("partition") LEFT JOIN h USING ("partition")""")
+def dashboard_summary(spark, d):
+    return observe.dashboard(events(spark, d), F.lit(NOW).cast("timestamp_ntz"), Config(partitions=5))
+
+
 _STEPS = f"""{SQL_SAID}, t AS (SELECT id, arr AS "at", 'consumed' AS label FROM s UNION ALL SELECT id, arr, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected: ' || reason END FROM s)"""
 
 

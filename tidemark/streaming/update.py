@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..config import Config
-from ..operators.quality import structural, too_far_ahead
+from ..operators.quality import outside, structural, too_far_ahead
 
 _EVENT = ["kind", "partition", "offset", "arr", "user_id", "event_time", "id", "campaign_id", "url", "value"]
 FENCED = "kind string, partition int, offset long, arr timestamp, user_id string, event_time timestamp, id string, campaign_id string, url string, value string, reason string, fence timestamp"
@@ -169,7 +169,7 @@ def changes(events: DataFrame, cfg: Config = Config()) -> DataFrame:
     """events: a stream of parsed events (see sources.parse). A stream of rows (what = row) and dead letters
     (what = dead_letter), for one foreachBatch that writes both (see sinks.Table)."""
     failed = F.col("failed") if "failed" in events.columns else F.lit(None).cast("string")
-    first = F.coalesce(failed, structural(), F.when(too_far_ahead(F.col("arr"), cfg), "event_time too far in future"))
+    first = F.coalesce(failed, outside(cfg), structural(), F.when(too_far_ahead(F.col("arr"), cfg), "event_time too far in future"))
     d = events.select(*_EVENT).withColumn("reason", first) if "failed" not in events.columns else events.select(*_EVENT, "failed").withColumn("reason", first).drop("failed")
     fenced = d.groupBy("partition").transformWithStateInPandas(Fence(cfg), FENCED, "Append", "None")
     return fenced.groupBy("user_id").transformWithStateInPandas(Attribute(cfg), CHANGED, "Append", "None")
