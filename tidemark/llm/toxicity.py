@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import frugal, keyed, load, sampled, slices
+from .common import frugal, keyed, load, release, sampled, slices
 
 #: Labelled rows of each label that are used at most, and the characters of the longest of them.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 3000, 50_000
@@ -201,29 +201,34 @@ def surprise(toxic: int, clean: int, share: float) -> float:
 
 def fresh(sets: list[set[str]], texts: list[str]) -> list[set[str]]:
     """Of each text's segments those that don't stand between the same two words in an earlier text."""
-    seen: set[int] = set()
-    out = []
-    for s, text in zip(sets, texts):
+    hashes, sizes = [np.zeros(0, np.int64)], []
+    for text in texts:
         w = ["", *text.lower().split(), ""]
-        at = [hash(x) for x in zip(w, w[1:], w[2:])]
-        out.append(s & segments(" ".join(x for x, h in zip(w[1:], at) if h not in seen or len(x) == 1)))
-        seen.update(at)
+        hashes.append(np.fromiter(map(hash, zip(w, w[1:], w[2:])), np.int64))
+        sizes.append(len(w) - 2)
+    first = np.zeros(sum(sizes), bool)
+    first[np.unique(np.concatenate(hashes), return_index=True)[1]] = True
+    out, done = [], 0
+    for s, text, n in zip(sets, texts, sizes):
+        out.append(s & segments(" ".join(x for x, new in zip(text.lower().split(), first[done : done + n].tolist()) if new or len(x) == 1)))
+        done += n
     return out
 
 
-def choose(sets: list[set[str]], toxic: np.ndarray, texts: list[str]) -> list[str]:
-    """Marks from training texts and their sets of segments. A mark is the string that most more toxic texts have than
+def choose(sets: list[set[str]], toxic: np.ndarray, texts: list[str], bad: Counter, good: Counter) -> list[str]:
+    """Marks from training texts, their sets of segments, and how many toxic and other texts have each. A mark is the string that most more toxic texts have than
     others, made longer while many still have it; again without the segments that have it."""
     def grams(words: set[str]) -> set[str]:
         return {w[i : i + n] for w in words for n in (4, 5, 6) for i in range(len(w) - n + 1)}
 
     n_toxic = int(toxic.sum())
     odds, share = n_toxic / max(1, len(sets) - n_toxic), n_toxic / len(sets)
-    bad, good = (Counter(w for s, t in zip(sets, toxic) if t == of for w in s) for of in (True, False))
     plain = {w for w, c in good.items() if bad[w] <= RATIO * odds * c}
     texts = [s - plain for s in fresh([s for s, t in zip(sets, toxic) if t], [x for x, t in zip(texts, toxic) if t])]
-    count = Counter(g for s in texts for g in grams(s))
-    tried = max(1, len(count))
+    # most strings stand in one text only: they are counted by their hashes, and only the others are kept
+    hashes, times = np.unique(np.concatenate([np.zeros(0, np.int64), *(np.fromiter(map(hash, grams(s)), np.int64) for s in texts)]), return_counts=True)
+    tried, often = max(1, len(hashes)), set(hashes[times >= 3].tolist())
+    count = Counter(g for s in texts for g in grams(s) if hash(g) in often)
     count = Counter({g: c for g, c in count.items() if c >= 3})
     clean = Counter(g for s, t in zip(sets, toxic) if not t for g in grams(s) & count.keys())
     marked = lambda g, c: c > RATIO * odds * clean[g] and surprise(c, clean[g], share) * tried < CHANCE
@@ -301,12 +306,15 @@ def fit(texts: list[str], toxic: list[int], share: float = 0.5) -> Machine:
     y = np.array(toxic, bool)
     if y.all() or not y.any():
         return unfit
-    sets = [segments(t) for t in texts]
-    marks = choose(sets, y, texts)
-    if not marks:
-        return unfit
+    kept: dict[str, str] = {}  # one object for each different segment
+    sets = [{kept.setdefault(w, w) for w in segments(t)} for t in texts]
+    del kept
     n_toxic, n_clean = int(y.sum()), int((~y).sum())
     bad, good = (Counter(w for s, t in zip(sets, y) if t == of for w in s if len(w) >= ORDER) for of in (True, False))
+    marks = choose(sets, y, texts, bad, good)
+    del sets
+    if not marks:
+        return unfit
     shown = {w: c for w, c in bad.items() if any(m in w for m in marks)}
     names = marks + [w for w in sorted(shown, key=lambda w: (-shown[w], hash_of(w))) if w not in marks][: max(0, TOXIC_MARKS - len(marks))]
     # clean segments near a mark are the hard ones: all of them are instances, and landmarks come from them first
@@ -403,6 +411,7 @@ def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True))
     mark). learn: which doc_ids' labels may be learned from."""
     d = keyed(docs)
     machine = fit(*_training(d, labels, learn))
+    release()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Scorer(machine)
@@ -416,6 +425,7 @@ def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True))
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of docs, with all their columns, that score under `least`; all rows where no machine can be fitted."""
     machine = fit(*_training(keyed(docs), labels, lambda doc_id: F.lit(True)))
+    release()
     if not machine.names:
         return docs
 
