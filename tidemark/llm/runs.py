@@ -11,7 +11,6 @@ bytes or a cryptographic digest of them.
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -33,6 +32,8 @@ ROWS, COUNTERS, PART = 2, 1 << 16, 1 << 12
 #: The most bits of a row that are sent to every executor: 2 rows of 2**27 are 32 MB. A larger sketch, which has at least
 #: two counters for each anchor of any corpus, stays a table, and the runs are joined with its parts.
 SENT_BITS = 27
+#: Spark's setting that removes an execution's shuffle files when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Anchors of a partition that are counted before they are passed on.
 PENDING = 1 << 18
 
@@ -86,12 +87,15 @@ def runs(grams: Callable[[int, int], np.ndarray], first: np.ndarray, size: int,
 
 def stored(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it: smaller than a checkpoint for many rows. What was
-    shuffled for it isn't needed again, so its files may go."""
+    shuffled for it isn't needed again, so its files go when it is written."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # Spark's cleaner removes shuffle files of plans that are collected
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     out = spark.read.parquet(path)
     out._stored_at = path
     return out
