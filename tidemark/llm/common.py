@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SMALL_IDS = 1_000_000
 #: Bytes of text that array code handles at once; it bounds the memory of a Python worker, not what is read.
 SLICE_BYTES = 512 << 10
+#: Spark's setting of the rows of an Arrow batch, its default, and what prepare() puts in its place.
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000")
 #: Bytes of a word from which on it is hashed by xxh3 instead of eight bytes at a time.
 LONG_WORD = 64
 
@@ -47,6 +49,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """The session with smaller Arrow batches, unless it has a size of its own: rows here are whole texts, and batches of
+    10,000 of them take much memory in the JVM and in each Python worker. The registered queries and stages do this."""
+    if spark.conf.get(BATCH_ROWS[0]) == BATCH_ROWS[1]:
+        spark.conf.set(BATCH_ROWS[0], BATCH_ROWS[2])
+    return spark
+
+
 def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
     """run, a function for mapInArrow, giving memory back to the system when it ends: Spark keeps Python workers for later
     steps, and what their allocators keep would add up."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import decontam, language, neardup, neighbours, packing, repeats, suffixes, surrogates, tokencounts, toxicity
+from .common import prepare
 
 
 def _pipeline(spark, sf_dir: str):
@@ -12,6 +13,10 @@ def _pipeline(spark, sf_dir: str):
 
 
 def queries() -> dict:
+    return {name: lambda spark, sf_dir, query=query: query(prepare(spark), sf_dir) for name, query in _queries().items()}
+
+
+def _queries() -> dict:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_suffixes": suffixes.op2_suffixes,
