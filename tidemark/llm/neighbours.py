@@ -151,7 +151,8 @@ def _best(x: np.ndarray, ids: np.ndarray, part: np.ndarray, q: np.ndarray, qids:
     order = np.argsort(ids, kind="stable")
     x, ids, part = np.ascontiguousarray(x[order]), ids[order], part[order]
     _, one, which = np.unique(x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_index=True, return_inverse=True)
-    members = np.split(np.argsort(which, kind="stable"), np.cumsum(np.bincount(which))[:-1])
+    members = [np.unique(ids[rows]).tolist() for rows in np.split(np.argsort(which, kind="stable"), np.cumsum(np.bincount(which))[:-1])]
+    most = k + 1 + len(ids) - len(np.unique(ids))  # the query's own row may be among the best, and repeated rows of one id
     u, part = x[one], part[one]
     columns = {int(p): np.flatnonzero(part == p) for p in np.unique(part)}
     out: list[tuple] = []
@@ -166,12 +167,13 @@ def _best(x: np.ndarray, ids: np.ndarray, part: np.ndarray, q: np.ndarray, qids:
         for p, rows in asks.items():
             if rows:
                 s[np.ix_(rows, columns[p])] = some[rows] @ u[columns[p]].T
-        kth = np.partition(s, max(0, len(u) - k - 1), axis=1)[:, max(0, len(u) - k - 1)]  # k + 1, as the query's own row may be one
+        kth = np.partition(s, max(0, len(u) - most), axis=1)[:, max(0, len(u) - most)]
         for i, row in enumerate(s):
             near = np.flatnonzero((row >= kth[i] - 1e-9 * max(1.0, abs(kth[i]))) & (row > -np.inf) if kth[i] > -np.inf else row > -np.inf)
             exact = (u[near] * some[i]).sum(axis=1)
-            found = [(-v, m) for v, c in zip(exact.tolist(), near.tolist()) for m in [j for j in ids[members[c][: k + 1]].tolist() if j != qids[a + i]][:k]]
-            out += [(int(qids[a + i]), m, -v) for v, m in sorted(found)[:k]]
+            found = sorted((-v, m) for v, c in zip(exact.tolist(), near.tolist()) for m in members[c][:most] if m != qids[a + i])
+            best = {m: v for v, m in reversed(found)}  # each id's best score
+            out += [(int(qids[a + i]), m, -v) for v, m in sorted((v, m) for m, v in best.items())[:k]]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
