@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontam, neardup, packing, surrogates, toxicity
-from tidemark.llm.common import checkpoint_dir, load
+from tidemark.llm.common import checkpoint_dir, load, prepare
 from tidemark.llm.runs import discard
 
 #: The columns of documents that a stage returns, but the last.
@@ -22,11 +22,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that score 0.5 or more for toxicity."""
-    return toxicity.drop_toxic(docs.select(*COLUMNS), load(spark, sf_dir, "labels"))
+    return toxicity.drop_toxic(docs.select(*COLUMNS), load(prepare(spark), sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest doc_id, of each group linked by similar sets of five-word shingles."""
+    prepare(spark)
     return neardup.keep_one(docs.select(*COLUMNS), k=5, share=80)
 
 
@@ -37,12 +38,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates in place of personal data; n_chars follows the text."""
-    out = surrogates.replace_private(docs, surrogates.key_of(spark), rest=["lang", "source"])
+    out = surrogates.replace_private(docs, surrogates.key_of(prepare(spark)), rest=["lang", "source"])
     return out.select("doc_id", "text", "rest.lang", "rest.source", F.length("text").cast(dict(docs.dtypes)["n_chars"]).alias("n_chars"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
+    prepare(spark)
     return packing.pack_documents(docs)
 
 
