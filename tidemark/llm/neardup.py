@@ -139,7 +139,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, shar
 
     near = cut(both.select("u", "v", "tu", "tv", "nu", "nv", "su", "sv").mapInArrow(agree, "u long, v long, tu long, tv long, nu long, nv long"))
     ids = near.select(F.col("u").alias("id"), F.col("tu").alias("th")).unionAll(near.select(F.col("v").alias("id"), F.col("tv").alias("th"))).distinct()
-    sets = _sets(docs, ids, k)
+    sets = cut(_sets(docs, ids, k))  # used twice, and so that the joins can split a hot center
     left = near.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
     full = left.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
