@@ -87,3 +87,46 @@ def test_common_counts():
     for columns in (3, 4096):
         got = neardup.common_counts(sets[:4], sets[4:], columns)
         assert got.tolist() == [[float(len(np.intersect1d(a, b))) for b in sets[4:]] for a in sets[:4]]
+
+
+def test_long_texts(spark):
+    """Texts over a slice, and their copies: near duplicates, repeated windows and benchmark words are those of brute force."""
+    from tests.llm.test_text_operators import contaminated
+    from tidemark.llm import decontam, repeats
+
+    rnd = random.Random(11)
+    words = [f"w{rnd.randint(0, 10_000)}" for _ in range(120_000)]
+    near = [*words[:60_000], "other", *words[60_001:]]
+    rows = [(1, " ".join(words)), (2, "  ".join(near)), (3, " ".join(words[50_000:50_400])), (4, "x" * 700_000), (5, "x" * 700_000), (6, "short one"), (7, " ".join(reversed(words)))]
+    assert len(rows[0][1]) > 600_000
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(frame(spark, rows), 3, 85).collect()}
+    assert got == brute_force(rows, 3, 85) and got[2][1] == 1 and got[5][1] == 4
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in repeats.remove_later_windows(frame(spark, rows), 13).collect()}
+    assert got == {i: w[:2] for (i, _), w in zip(rows, repeats.brute_force([(i, t.encode()) for i, t in rows], 13))}
+    items = [(1, " ".join(words[-12:])), (2, "other " + " ".join(words[60_001:60_008])), (3, "nowhere at all")]
+    found = {r.doc_id: tuple(r["items"] or ()) for r in decontam.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {i: hit for i, _, _, hit in contaminated([(i, t) for i, t in rows if i not in (1, 2, 7)], items, 10)} | {1: ("1",), 2: ("1", "2"), 7: ()}
+
+
+def test_results_beyond_the_bounds_of_broadcasts(spark, monkeypatch):
+    """With every bound at nothing, the same steps shuffle and give the same."""
+    from tests.llm.test_text_operators import pages
+    from tidemark.llm import common, language, runs, suffixes, surrogates
+
+    rows = mixed_documents(9, 20) + near_group(3, 12) + [(5000 + i, f"mail a{i % 3}.b@c.com or 192.168.0.{i}") for i in range(6)]
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(suffixes, "GROUP", 3)
+    monkeypatch.setattr(surrogates, "DENSE", 1 << 14)  # so that a range is dense
+    docs, web, _ = pages()
+
+    def results():
+        d = frame(spark, rows)
+        return [sorted(map(str, df.collect())) for df in (
+            neardup.keep_one(d, 3, 85), suffixes.remove_repeats(d, 60), surrogates.replace_private(d, b"k"),
+            language.identify(spark.createDataFrame(web[:20], "page_id long, url string, html string"), spark.createDataFrame(docs, "doc_id long, text string, lang string")).selectExpr("page_id", "lang", "round(probability, 9) as p"))]
+    want = results()
+    for module in (common, neardup, suffixes, surrogates, language):
+        monkeypatch.setattr(module, "SMALL_IDS", 0)
+    for module in (runs, language):
+        monkeypatch.setattr(module, "SMALL_BYTES", 0)
+    assert results() == want

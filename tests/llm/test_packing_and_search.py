@@ -137,6 +137,13 @@ def test_neighbours_are_exact_in_one_part(spark, monkeypatch):
     assert neighbours.nearest(few.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """Rows with one vec_id count as one, by their best score; equal vectors tie by vec_id."""
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (7, [0.5, 0.0]), (7, [0.9, 0.2]), (7, [0.9, 0.2]), (5, [0.9, 0.2]), (3, [0.8, 0.0])]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0, 3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id, round(r.score, 6)) for r in got] == [(0, 5, 0.9), (0, 7, 0.9), (0, 3, 0.8), (20, 5, 0.2), (20, 7, 0.2), (20, 0, 0.0)]
+
+
 def recall(got, want):
     return np.mean([len(set(got[q]) & set(w)) / len(w) for q, w in want.items()])
 
@@ -258,6 +265,27 @@ def test_query(spark, name, columns):
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def test_surrogates_query_against_brute_force(spark):
+    """op10 on a whole table: what is found is replaced, one for one in the whole corpus, by what is found as the same kind;
+    the rest stays."""
+    from tidemark.llm import surrogates
+
+    d = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()}
+    new: dict[tuple, str] = {}
+    for r in surrogates.op10_surrogates(spark, "/root/testdata/sf0.01").collect():
+        text, done, at = d[r.doc_id], 0, 0
+        spans = surrogates.detect(text)
+        found = surrogates.detect(r.text)
+        assert r.n_entities == len(spans) == len(found) and r.kinds == ",".join(sorted({k.split("/")[0] for *_, k in spans}))
+        for (a, b, kind), (x, y, again) in zip(spans, found):
+            assert text[done:a] == r.text[at:x] and kind == again
+            key = kind, surrogates.canonical(kind, text[a:b])
+            assert new.setdefault(key, r.text[x:y].lower()) == r.text[x:y].lower() != text[a:b].lower()
+            done, at = b, y
+        assert text[done:] == r.text[at:]
+    assert len(set(new.values())) == len(new) > 50 and not {v for _, v in new} & set(new.values())
+
+
 def test_suffixes_query_against_brute_force(spark):
     """op2 on a whole table of 1,000 documents, byte by byte."""
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()

@@ -159,15 +159,16 @@ def contaminated(docs, items, size):
     return Counter(out)
 
 
-@pytest.mark.parametrize("most", [decontam.SMALL_TERMS, 0])
-def test_decontamination(spark, monkeypatch, most):
-    monkeypatch.setattr(decontam, "SMALL_TERMS", most)  # 0: terms are joined by shuffles
+@pytest.mark.parametrize("listed,most,anchors", [(decontam.LISTED, decontam.SMALL_TERMS, 1), (0, decontam.SMALL_TERMS, 1), (0, 0, 3)])
+def test_decontamination(spark, monkeypatch, listed, most, anchors):
+    monkeypatch.setattr(decontam, "LISTED", listed)  # 0: terms are joined
+    monkeypatch.setattr(decontam, "SMALL_TERMS", most)  # 0: by shuffles
     docs = mixed_documents(11, 25)
     source = [t for _, t in docs if t and len(split(t)) > 30]
     items = [(1, " ".join(split(source[0])[3:25])), (2, source[1].upper()[:200]), (10, "W5"), (11, "never there at all in any of these texts okay now"), (12, None), (13, "..."), (None, "w5"), (1, " ".join(split(source[0])[3:25])), (3, "É é Ñ")]
     docs += [(500, "É-é/Ñ w5 w5"), (None, "w5")]
     d = frame(spark, docs)
-    got = decontam.decontaminate(d, spark.createDataFrame(items, "item_id long, text string"), 10).collect()
+    got = decontam.decontaminate(d, spark.createDataFrame(items, "item_id long, text string"), 10, most=anchors).collect()
     rows = Counter((r.doc_id, r.n_words, len({p for s in r.spans or [] for p in range(s.start, s.start + s.length)}), tuple(r["items"] or ())) for r in got)
     assert rows == contaminated(docs, items, 10) and sum(1 for r in got if r["items"]) > 3
     assert decontam.decontaminate(empty(spark), spark.createDataFrame(items, "item_id long, text string")).count() == 0
@@ -177,9 +178,12 @@ def test_decontamination(spark, monkeypatch, most):
 
 def test_proximity(spark):
     item = [(7, "alpha beta gamma delta epsilon zeta eta theta iota kappa")]
-    docs = [(1, "alpha beta gamma delta x epsilon zeta eta theta iota kappa"), (2, "alpha x y beta"), (3, item[0][1])]
-    got = {r.doc_id: (bool(r["items"]), r.near_items) for r in decontam.decontaminate(frame(spark, docs), spark.createDataFrame(item, "item_id long, text string")).collect()}
-    assert got == {1: (False, ["7"]), 2: (False, None), 3: (True, ["7"])}
+    # an added word; too few; the item; the rarest word replaced, and two rare ones; a word that no document has
+    docs = [(1, "alpha beta gamma delta x epsilon zeta eta theta iota kappa"), (2, "alpha x y beta"), (3, item[0][1]), (4, "alpha beta gamma delta epsilon zeta eta theta iota other"),
+            (5, "x beta gamma delta epsilon zeta eta theta iota y"), (6, "x y gamma delta epsilon zeta eta theta iota z"), *((10 + i, "beta gamma delta epsilon zeta eta theta iota " * 2) for i in range(3)), (20, "one two three four"), (21, "one two three")]
+    item += [(8, "one two three four nowhere"), (9, "never seen words")]
+    got = {r.doc_id: (bool(r["items"]), r.near_items) for r in decontam.decontaminate(frame(spark, docs), spark.createDataFrame(item, "item_id long, text string"), most=decontam.differ(10, 0.8) + 1).collect()}
+    assert got == {1: (False, ["7"]), 2: (False, None), 3: (True, ["7"]), 4: (False, ["7"]), 5: (False, ["7"]), 6: (False, None), **{10 + i: (False, ["7"]) for i in range(3)}, 20: (False, ["8"]), 21: (False, None)}
 
 
 # ---- surrogates
@@ -387,6 +391,18 @@ def test_language_against_brute_force(spark):
     assert Counter((r.page_id, r.lang, round(r.probability, 9)) for r in got) == Counter(want)
 
 
+def test_languages_that_tie(spark):
+    """Two languages with the same documents: the first by name."""
+    d = spark.createDataFrame([(i, "same words here", lang) for i, lang in enumerate(["zz", "aa"] * 3)], "doc_id long, text string, lang string")
+    got = language.identify(spark.createDataFrame([(1, "http://a.b/", "<p>same words</p>"), (2, None, None)], "page_id long, url string, html string"), d).collect()
+    assert {(r.lang, r.probability, r.text_lang) for r in got} == {("aa", 0.5, None)}
+
+
+def test_toxicity_of_a_long_text(machine):
+    long = " ".join(f"w{i}" for i in range(400_000))
+    assert (scores_of(machine, [long, long + " you idiot", "you idiot " + long]) >= 0.5).tolist() == [False, True, True]
+
+
 def test_pages_that_are_never_closed():
     import time
 
