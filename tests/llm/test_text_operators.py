@@ -127,6 +127,27 @@ def test_toxicity_of_held_out_rows(machine):
     assert (predicted == toxic).mean() > 0.95 and predicted[~toxic].mean() < 0.02 and predicted[toxic].mean() > 0.75
 
 
+def test_scores_against_all_kernel_values(machine):
+    """Each segment's kernel values with all landmarks, none ruled out beforehand."""
+    m = machine[0].machine
+    texts = [*machine[1].text[:60], "you idi-ot and scxum, morronn", ""]
+    own = [toxicity.own(toxicity._codes([n], len(n)))[0] for n in m.names]
+    want = []
+    for text in texts:
+        words = sorted(w for w in toxicity.segments(text) if len(w) >= toxicity.ORDER)
+        margins = [0.0]
+        if words:
+            codes = toxicity._codes(words, toxicity.SEGMENT)
+            size = np.maximum(toxicity.own(codes), 1e-9)
+            values = np.stack([toxicity.kernel(codes, toxicity._codes([n], len(n))) / (o * size) for n, o in zip(m.names, own)], axis=1)
+            near = values[:, : m.gates].max(axis=1) >= toxicity.FLOOR
+            margins += (values[near] @ m.weights).tolist()
+            if near.all() and len(words) == len(toxicity.segments(text)):
+                margins = margins[1:]
+        want.append(1 / (1 + np.exp(-np.clip(max(margins) + m.shift, -30, 30))))
+    assert scores_of(machine, texts) == pytest.approx(want, abs=1e-4) and max(want) > 0.5 > min(want)
+
+
 def test_insults_with_gaps_and_beside_any_word(machine):
     forms = [f for w in INSULTS for f in [w, w.upper(), f"{w}!!", " ".join(w), "-".join(w), *(w[:i] + c + w[i:] for i in range(1, len(w)) for c in "x-*q")]]
     assert [f for f, x in zip(forms, scores_of(machine, [f"you {f} there" for f in forms])) if x < 0.5] == []

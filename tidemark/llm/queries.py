@@ -33,4 +33,4 @@ def _queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash": neardup.SQL, "op4_decontam": decontam.SQL, "op6_repeats": repeats.SQL}
+    return {"op2_suffixes": suffixes.SQL, "op3_minhash": neardup.SQL, "op4_decontam": decontam.SQL, "op6_repeats": repeats.SQL}

@@ -322,3 +322,19 @@ def brute_force(texts: list[bytes], size: int) -> list[tuple[int, int, int, str]
         kept = bytes(c for i, c in enumerate(t) if i not in gone)
         out.append((len(t), len(gone), len(spans), hashlib.sha256(kept).hexdigest()))
     return out
+
+
+#: Windows as hexadecimal digits, two for a byte.
+SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p - 1, 400)) AS k FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 198)) AS p FROM d WHERE length(h) >= 400)),
+r AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+m AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM w JOIN r USING (k)),
+g AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS n FROM m),
+s AS (SELECT doc_id, min(p) AS a, max(p) + 199 AS z FROM g GROUP BY doc_id, n),
+x AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS y FROM s),
+t AS (SELECT doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed, max(z) AS last, string_agg(substr(h, 2 * y + 1, 2 * (a - 1 - y)), '' ORDER BY a) AS kept FROM x JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN t.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
