@@ -6,6 +6,7 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests.helpers import BASE, EVENT, GOLDEN, GOLDEN_ROWS, event
@@ -13,6 +14,7 @@ from tidemark.config import Config
 from tidemark.operators import asof, observe, quality
 from tidemark.streaming.append import attribute_stream
 from tidemark.streaming.sinks import Table, retry, writer
+from tidemark.streaming.supervise import supervise
 from tidemark.streaming.update import changes
 
 CFG = Config(lateness=15 * 60)
@@ -171,6 +173,31 @@ def test_upsert_again_changes_nothing(spark, tmp_path):
     assert sorted((r.page_view_id, r.attributed_click_id) for r in table.read().collect()) == [("p", "c"), ("q", "c")]
 
 
+def test_supervised_stream(spark, tmp_path):
+    """A sink that fails now and then, and for good: the stream goes on from its checkpoint, and rows count once."""
+    tmp, waits, fail = str(tmp_path), [], iter([True, True, False, True, False, False])
+    table = Table(spark, f"{tmp}/table", buckets=2)
+    for k, rows in enumerate((GOLDEN[:5], GOLDEN[5:9], GOLDEN[9:])):
+        put(f"{tmp}/in", f"{k}.json", rows)
+    write = writer(table, f"{tmp}/dead", CFG)
+
+    def start(broken=False):
+        def batch(d, n):
+            write(d, n)
+            if broken or next(fail):
+                raise OSError("after the write")
+        stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).json(f"{tmp}/in")
+        return changes(stream, CFG).writeStream.foreachBatch(batch).option("checkpointLocation", f"{tmp}/ck").outputMode("append").trigger(availableNow=True).start()
+    assert supervise(start, first=1, longest=3, sleep=waits.append) == 3 and waits == [1, 2, 1]
+    got = {r.page_view_id: (r.attributed_campaign_id, r.attributed_click_id) for r in table.read().collect() if r.page_view_id != "pv_advance"}
+    assert got == GOLDEN_ROWS and table.inserts().count() == 7
+    put(f"{tmp}/in", "3.json", [event(50, "v", "user_9", 300, "pv_9")])
+    waits.clear()
+    with pytest.raises(StreamingQueryException):
+        supervise(lambda: start(True), most=3, first=1, longest=1.5, sleep=waits.append)
+    assert waits == [1, 1.5]
+
+
 def test_retry():
     waits, calls = [], []
 
