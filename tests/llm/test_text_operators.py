@@ -287,6 +287,23 @@ def test_surrogates_of_many_names(spark):
     assert len(set(names)) == len(names) == len(made) == len(set(made)) and not set(names) & set(made)
 
 
+def test_mentions_of_names():
+    """As an alternation of all names would find them, and in time that grows with the text."""
+    import time
+
+    rnd = random.Random(3)
+    words = ["Anna", "Ann", "Bo", "Bor", "Karl", "Éva", "Иван", "anna", "x", "O'Neil", "Bo_"]
+    for _ in range(300):
+        text = "".join(rnd.choice(words) + rnd.choice([" ", " ", "-", ", ", "", "'s ", "\n"]) for _ in range(rnd.randint(0, 30)))
+        known = {rnd.choice([" ", "-"]).join(rnd.choice(words[:7]) for _ in range(rnd.randint(1, 3))): "n" for _ in range(rnd.randint(1, 6))}
+        every = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(known, key=len, reverse=True))) + r")(?!\w)")
+        assert list(surrogates.mentions(text, known)) == [m.span() for m in every.finditer(text)], (text, known)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    long = "; ".join(f"Mr John {a.title()}{b}{c}" for a in syllables[:30] for b in syllables[:30] for c in syllables[:30])
+    began = time.perf_counter()
+    assert len(surrogates.detect(long)) == 27_000 and time.perf_counter() - began < 5
+
+
 def test_surrogates_of_a_long_text(spark):
     text = ("word " * 60_000 + "mail a.b@c.com ") * 8  # over a slice
     by = surrogates.replace_private(frame(spark, [(1, text)]), b"k").first()

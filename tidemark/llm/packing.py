@@ -5,6 +5,7 @@ groups of bounded size; each group is packed alone: first best-fit decreasing, t
 the underfull sequences, emptiest first, and moves a document, or exchanges one for one or two for one, with
 other underfull sequences. A step is taken only if it raises the sum of squared fills, which empties sequences.
 
+Pieces of one length are interchangeable; which goes where follows the hash of their text, then doc_id and number.
 Nulls and empty texts are documents of the end token alone. A repeated row is a document of its own. An empty
 table gives no rows. A text of any length is cut into pieces; it never has to fit a sequence.
 """

@@ -48,7 +48,9 @@ _KEY = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)|(?<!\w)(?:ghp_|sk-|xo
 _SECRET = re.compile(r"(?:[Pp]assword|PASSWORD|[Pp]asswd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi[_-]?[Kk]ey|API_KEY)\s*[=:]\s*[\"']?([A-Za-z0-9+/_=.-]{8,})")
 #: Titles, and the gender they tell.
 _TITLES = {"Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "Dr": "n", "Prof": "n", "Господин": "m", "Госпожа": "f"}
-_NAME = re.compile(r"(?<!\w)(" + "|".join(_TITLES) + r")\.? ((?:[A-ZÀ-ÞА-Я][a-zß-ÿа-яё]+)(?:[ -][A-ZÀ-ÞА-Я][a-zß-ÿа-яё]+){0,2})(?!\w)")
+_WORD = "[A-ZÀ-ÞА-Я][a-zß-ÿа-яё]+"
+_NAME = re.compile(r"(?<!\w)(" + "|".join(_TITLES) + rf")\.? ({_WORD}(?:[ -]{_WORD}){{0,2}})(?!\w)")
+_FIRST, _NEXT = re.compile(rf"(?<!\w){_WORD}"), re.compile(rf"[ -]{_WORD}")
 #: Given names by script and gender.
 _GIVEN = {
     ("latin", "m"): "Adam Albert Anton Bruno Carl Daniel David Emil Erik Felix Frank Georg Henry Hugo Jacob James Jonas Karl Leon Louis Lucas Marco Martin Oscar Otto Paul Peter Robert Simon Thomas".split(),
@@ -238,6 +240,22 @@ def surrogate(key: bytes, kind: str, text: str, draw: int = 0) -> str:
     return text
 
 
+def mentions(text: str, known: dict[str, str]) -> Iterator[tuple[int, int]]:
+    """Where known names of one to three words stand, the longest at each place; one look at each word."""
+    done = 0
+    for m in _FIRST.finditer(text):
+        if m.start() < done:
+            continue
+        ends = [m.end()]
+        while len(ends) < 3 and (more := _NEXT.match(text, ends[-1])):
+            ends.append(more.end())
+        for e in reversed(ends):
+            if text[m.start() : e] in known and not (text[e : e + 1].isalnum() or text[e : e + 1] == "_"):
+                yield m.start(), e
+                done = e
+                break
+
+
 def detect(text: str) -> list[tuple[int, int, str]]:
     """(start, stop, kind) of the entities, in order; of overlapping ones the first, then the longest."""
     found: list[tuple[int, int, str]] = []
@@ -257,8 +275,7 @@ def detect(text: str) -> list[tuple[int, int, str]]:
         for a, b, kind in sorted(names, key=lambda f: f[0] - f[1]):
             for part in (text[a:b], *re.split("[ -]", text[a:b])):
                 also.setdefault(part, kind)
-        again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(also, key=len, reverse=True))) + r")(?!\w)")
-        found += names + [(*m.span(), also[m.group()]) for m in again.finditer(text)]
+        found += names + [(x, y, also[text[x:y]]) for x, y in mentions(text, also)]
     out, end = [], 0
     for a, b, kind in sorted(found, key=lambda f: (f[0], -f[1])):
         if a >= end:
