@@ -207,6 +207,18 @@ def test_proximity(spark):
     assert got == {1: (False, ["7"]), 2: (False, None), 3: (True, ["7"]), 4: (False, ["7"]), 5: (False, ["7"]), 6: (False, None), **{10 + i: (False, ["7"]) for i in range(3)}, 20: (False, ["8"]), 21: (False, None)}
 
 
+@pytest.mark.parametrize("listed,small", [(decontam.LISTED, decontam.SMALL_IDS), (0, 0)])
+def test_proximity_is_whole_by_default(spark, monkeypatch, listed, small):
+    """Any two of an item's ten words are replaced, the two rarest ones too: each such passage is found, and one with three isn't."""
+    monkeypatch.setattr(decontam, "LISTED", listed)
+    monkeypatch.setattr(decontam, "SMALL_IDS", small)
+    item = [f"t{i}" for i in range(10)]
+    docs = [(n, " ".join("other" if i in pair else w for i, w in enumerate(item))) for n, pair in enumerate(combinations(range(10), 2))]
+    docs += [(100, " ".join(["x", *item, "y"])), (101, "other other other " + " ".join(item[3:])), (102, None), docs[0]]
+    got = {r.doc_id: (r["items"] or [], r.near_items or []) for r in decontam.decontaminate(frame(spark, docs), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()}
+    assert got == {**{n: ([], ["7"]) for n in range(45)}, 100: (["7"], ["7"]), 101: ([], []), 102: ([], [])}
+
+
 # ---- surrogates
 
 def test_permutation_and_formats():

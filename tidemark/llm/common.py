@@ -26,6 +26,9 @@ SMALL_IDS = 1_000_000
 SLICE_BYTES = 512 << 10
 #: Spark's setting of the rows of an Arrow batch, its default, and what prepare() puts in its place.
 BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000")
+#: Hadoop's settings for steps' files in a folder of the scheme file. Hadoop starts a chmod for each file, three with a
+#: checksum file beside it, and while a JVM starts a process, its memory counts twice.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 #: Bytes of a word from which on it is hashed by xxh3 instead of eight bytes at a time.
 LONG_WORD = 64
 
@@ -46,7 +49,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Store df in the shared folder and go on from there: lost executors don't bring back the work before it."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    before = {k: conf.get(k) for k in PLAIN_FILES}
+    for k, v in PLAIN_FILES.items():
+        conf.set(k, v)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+
+
+def fewer(df: DataFrame) -> DataFrame:
+    """df in at most two tasks for each core, which go through several partitions one after another: so many files are
+    written, and not one for each small partition (see PLAIN_FILES)."""
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import checkpoint_dir, cut, digests, frugal, null_safe, sliced
+from .common import PLAIN_FILES, checkpoint_dir, cut, digests, fewer, frugal, null_safe, sliced
 
 #: Windows that array code looks at together; it bounds memory, and at worst parts a run.
 TILE = 1 << 17
@@ -85,15 +85,15 @@ def runs(grams: Callable[[int, int], np.ndarray], first: np.ndarray, size: int,
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, few: bool = False) -> DataFrame:
     """Write df as a table in the shared folder and read it: smaller than a checkpoint for many rows. What was
-    shuffled for it isn't needed again, so its files go when it is written."""
+    shuffled for it isn't needed again, so its files go when it is written. few: in fewer() files."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEAN_UP, "false")
     spark.conf.set(CLEAN_UP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        (fewer(df) if few else df).write.options(compression="zstd", **PLAIN_FILES, **{"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}).parquet(path)
     finally:
         spark.conf.set(CLEAN_UP, before)
     out = spark.read.parquet(path)
@@ -233,10 +233,10 @@ def seen_again(h: np.ndarray, sketch: np.ndarray, bits: int) -> np.ndarray:
     return often
 
 
-def repeated_runs(docs: DataFrame, parts: Callable[[list[bytes]], Parts], size: int, k: int, bits: int, ids: DataFrame | None = None) -> DataFrame:
+def repeated_runs(docs: DataFrame, parts: Callable[[list[bytes]], Parts], size: int, k: int, bits: int, ids: DataFrame | None = None, few: bool = False) -> DataFrame:
     """doc_id, tag, place (first window, windows and the anchor's place in one number), h (the anchor's hash), c1, c2 (the
     context's digest, with the anchor's place in it) of the runs whose anchor is estimated to occur again. Stored.
-    docs: doc_id, tag, text; all of them are counted. ids: those whose runs are wanted, if not all."""
+    docs: doc_id, tag, text; all of them are counted. ids: those whose runs are wanted, if not all. few: see stored()."""
     def each(texts: pa.Array) -> Iterator[tuple]:
         for lo, some in sliced(t.as_py() for t in texts):
             p = parts(some)
@@ -260,13 +260,13 @@ def repeated_runs(docs: DataFrame, parts: Callable[[list[bytes]], Parts], size:
     columns = "doc_id long, tag int, place long, h long, c1 long, c2 long"
     found = (docs if ids is None else ids).select("doc_id", "tag", "text").mapInArrow(frugal(find), columns)
     if whole is not None:
-        return stored(found)
+        return stored(found, few)
     each = PART.bit_length() - 1
     x = F.xxhash64("h")
     at = [F.shiftrightunsigned(x, each * r).bitwiseAND(PART - 1).cast("int") for r in range(ROWS)]
     often = [F.getbit(F.get("words", F.lit(r * (PART // 64)) + F.shiftright(a, 6)), a.bitwiseAND(63)) == 1 for r, a in enumerate(at)]
     some = found.withColumn("part", F.shiftrightunsigned(x, 64 - bits + each))
-    return stored(some.join(cut(sketch), "part").where(often[0] & often[1]).select(found.columns))
+    return stored(some.join(cut(sketch), "part").where(often[0] & often[1]).select(found.columns), few)
 
 
 def merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
