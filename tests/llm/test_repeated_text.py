@@ -177,3 +177,20 @@ def test_runs_cover_each_window_once(monkeypatch):
     for r, a, m, o, hh in zip(row, at, n, off, h):
         for j in range(m):  # equal windows have the anchor at the same place
             assert by_window.setdefault(x[a + j : a + j + 20].tobytes(), (int(o - j), int(hh))) == (int(o - j), int(hh))
+
+
+def test_steps_write_few_files(spark, tmp_path):
+    """Tables of many partitions are written in two files for each core, and neither they nor checkpoints with checksum files."""
+    import glob
+    import os
+
+    from tidemark.llm import common, runs
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    files = lambda: {f for f in glob.glob(f"{folder}/**/*", recursive=True) + glob.glob(f"{folder}/**/.*", recursive=True) if os.path.isfile(f)}
+    before, df = files(), spark.range(0, 500, 1, 50)
+    table = runs.stored(df, few=True)
+    assert table.count() == 500 and 1 <= len(files() - before) <= 2 * spark.sparkContext.defaultParallelism
+    assert common.cut(df).count() == 500 and not [f for f in files() - before if f.endswith(".crc")]
+    assert spark.sparkContext._jsc.hadoopConfiguration().get("fs.file.impl.disable.cache") is None  # as it was
+    runs.discard(table)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SMALL_IDS, cut, frugal, joined, keyed, lanes, load, rolled
+from .common import SMALL_IDS, cut, fewer, frugal, joined, keyed, lanes, load, rolled
 from .runs import Parts, bits_for, discard, packed, per_document, repeated_runs, span_array, span_lists, stored, unpacked
 
 #: Bytes of an anchor (a multiple of eight); bytes that multikey quicksort compares before blind tries take over.
@@ -226,16 +226,16 @@ def _parted(some: DataFrame, size: int) -> tuple[DataFrame, DataFrame | None]:
     now = some.withColumns({"lo": F.lit(0), "hi": F.lit(most + 1), "g": F.lit("")})
     small, same = [], []
     while True:
-        many = cut(now.groupBy("h", "g").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > GROUP).select("h", "g"))
+        many = cut(fewer(now.groupBy("h", "g").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > GROUP).select("h", "g")))
         n = many.count()
         if not n:
             return _all([*small, now]), _all(same)
         send = F.broadcast if n <= SMALL_IDS else lambda df: df
         small.append(now.join(send(many), ["h", "g"], "left_anti"))
-        hot = cut(now.join(send(many), ["h", "g"], "left_semi"))
+        hot = cut(fewer(now.join(send(many), ["h", "g"], "left_semi")))
         after, before = F.col("text").substr(F.col("off") + ANCHOR + 1, F.length("text")), F.reverse(F.hex(F.col("text").substr(F.lit(1), F.col("off"))))
         ends = hot.groupBy("h", "g").agg(F.min(after).alias("a0"), F.max(after).alias("a1"), F.min(before).alias("b0"), F.max(before).alias("b1"))
-        ends = cut(ends.mapInArrow(_in_common, "h long, g string, after int, before int"))
+        ends = cut(fewer(ends.mapInArrow(_in_common, "h long, g string, after int, before int")))
         hot = hot.join(send(ends), ["h", "g"]).drop("g")
         # windows within what all have in common are repeated; the others reach beyond it on one side, where the group parts
         every = F.col("after") + F.col("before") >= most
@@ -248,7 +248,7 @@ def _parted(some: DataFrame, size: int) -> tuple[DataFrame, DataFrame | None]:
         need = most - F.col("hi") + 1  # bytes before the anchor that each of these windows has; after it they have lo
         split = split.where((F.length("text") - F.col("off") - ANCHOR >= F.col("lo")) & (F.col("off") >= need))
         common = F.col("text").substr(F.col("off") - need + 1, need + ANCHOR + F.col("lo"))
-        now = cut(split.withColumn("g", F.concat_ws(":", "lo", "hi", F.sha2(common, 256))))
+        now = cut(fewer(split.withColumn("g", F.concat_ws(":", "lo", "hi", F.sha2(common, 256)))))
 
 
 def _all(frames: list[DataFrame]) -> DataFrame | None:
@@ -261,15 +261,15 @@ def _all(frames: list[DataFrame]) -> DataFrame | None:
 def _repeated(spread: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """c1, c2, j0, j1: the windows j0 to j1 of the runs with that context stand somewhere else too."""
     kinds = spread.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "tag", "place", "h")).alias("r")).select("c1", "c2", "copies", "r.*")
-    kinds = stored(kinds)
-    anchors = cut(kinds.groupBy("h").agg(F.sum("copies").alias("m")).where("m > 1").select("h"))  # stored, so that the join can split a hot one
+    kinds = stored(kinds, few=True)
+    anchors = cut(fewer(kinds.groupBy("h").agg(F.sum("copies").alias("m")).where("m > 1").select("h")))  # stored, so that the join can split a hot one
     lists = per_document(kinds.join(anchors, "h"), ["h", "c1", "c2", "place", "copies"])
     one = texts.join(lists, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select("z", "at")  # a repeated row has its contexts once
-    found = stored(one.mapInArrow(frugal(_contexts(size)), "h long, c1 long, c2 long, off int, copies long, text binary"))
+    found = stored(one.mapInArrow(frugal(_contexts(size)), "h long, c1 long, c2 long, off int, copies long, text binary"), few=True)
     parts, same = _parted(found, size)
     out = parts.repartition("h", "g").sortWithinPartitions("h", "g").select("g", "h", "c1", "c2", "off", "copies", "text", "lo", "hi").mapInArrow(
         frugal(_sorted_groups(size)), "c1 long, c2 long, j0 int, j1 int")
-    out = stored(out if same is None else out.unionByName(same))
+    out = stored(out if same is None else out.unionByName(same), few=True)
     discard(found, kinds)
     return out
 
@@ -295,7 +295,7 @@ def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
     d = keyed(docs)
     length = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows = d.select(F.coalesce("doc_id", "th").alias("doc_id"), F.shiftright("th", 32).cast("int").alias("tag"), "text")
-    spread = repeated_runs(rows, byte_parts, size, ANCHOR, bits_for(2 * length // (size - ANCHOR + 2)))
+    spread = repeated_runs(rows, byte_parts, size, ANCHOR, bits_for(2 * length // (size - ANCHOR + 2)), few=True)
     texts = packed(d)
     repeated = _repeated(spread, texts, size)
     spans = spread.select("doc_id", "tag", F.shiftright("place", 32).alias("lo"), "c1", "c2").join(repeated, ["c1", "c2"]).select(
@@ -305,7 +305,7 @@ def remove_repeats(docs: DataFrame, size: int = 200) -> DataFrame:
 
 
 def op2_suffixes(spark, sf_dir: str) -> DataFrame:
-    out = remove_repeats(load(spark, sf_dir, "documents"))
+    out = fewer(remove_repeats(load(spark, sf_dir, "documents")))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
