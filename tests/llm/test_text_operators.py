@@ -160,6 +160,22 @@ def test_insults_with_gaps_and_beside_any_word(machine):
         assert (beside >= np.maximum(alone, scores_of(machine, [insult])[0]) - 1e-9).all() and (beside >= 0.5).all()
 
 
+def test_machine_is_not_fitted_on_the_driver(spark, monkeypatch):
+    import os
+
+    rows = [(i, f"you {'idiot' if i % 3 == 0 else 'good friend'} w{i % 50}") for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    want = toxicity.fit([t for _, t in rows], [int(i % 3 == 0) for i, _ in rows], 101 / 302)
+    here, fit = os.getpid(), toxicity.fit
+
+    def elsewhere(*given):
+        assert os.getpid() != here
+        return fit(*given)
+    monkeypatch.setattr(toxicity, "fit", elsewhere)
+    got = toxicity.fitted(toxicity.keyed(frame(spark, rows)), labels, lambda doc_id: toxicity.F.lit(True))
+    assert got.names == want.names and got.names and got.gates == want.gates and np.allclose(got.weights, want.weights) and np.isclose(got.shift, want.shift)
+
+
 # ---- decontamination
 
 def split(t):

@@ -13,7 +13,7 @@ others, by numbers that chance doesn't give even once in a hundred times among a
 an instance of the true class, as often as toxic texts have it; segments of clean texts are the false class, those near a
 mark all of them. Copied passages are no further evidence: a word counts once between the same two neighbours.
 
-The machine is fitted on the driver on a bounded sample of labelled rows: at most TRAIN_TOXIC and TRAIN_CLEAN, the
+The machine is fitted in one task, not on the driver, on a bounded sample of labelled rows: at most TRAIN_TOXIC and TRAIN_CLEAN, the
 ones with the least hash of their doc_id among texts of at most TRAIN_CHARS characters. Every text is scored
 whole, however long. Null and empty texts have no segments and get the score of an empty one; labels that are null,
 repeated with a contradiction (the larger counts) or missing do no harm; repeated rows are scored alike. Where no machine
@@ -24,6 +24,7 @@ ones, but 0.49 at most, so no row counts as toxic.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import frugal, keyed, load, release, sampled, slices
+from .common import frugal, keyed, load, sampled, slices
 
 #: Labelled rows of each label that are used at most, and the characters of the longest of them.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 3000, 50_000
@@ -388,8 +389,25 @@ class Scorer:
         self.none.difference_update(self.margin)
 
 
-def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], list[int], float]:
-    """Texts and labels of the sample, collected, as it is bounded; the smoothed share of toxic rows among all labelled."""
+def fitted(docs: DataFrame, labels: DataFrame, learn) -> Machine:
+    """The machine of the sample, from one task that has all of it, as it is bounded: the driver sees neither its texts nor
+    what fitting takes."""
+    sample, share = _training(docs, labels, learn)
+    if sample is None:
+        return fit([], [], share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(b[c].to_pylist() for c in ("doc_id", "text", "toxic"))))
+        if rows:
+            machine = fit([r[1] for r in rows], [r[2] for r in rows], share)
+            yield pa.record_batch([pa.array([pickle.dumps(machine)], pa.binary())], names=["machine"])
+
+    one = sample.repartition(1).mapInArrow(frugal(run), "machine binary").first()
+    return pickle.loads(one[0]) if one else fit([], [], share)
+
+
+def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[DataFrame | None, float]:
+    """doc_id, text, toxic of the sample (None: empty); the smoothed share of toxic rows among all labelled."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     known = known.where(learn(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, bad = known.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -399,19 +417,16 @@ def _training(docs: DataFrame, labels: DataFrame, learn) -> tuple[list[str], lis
     some = [sampled(known.where(F.col("toxic") == t), "doc_id", most, total).collect() for t, most, total in ((1, TRAIN_TOXIC, bad), (0, TRAIN_CLEAN, n - bad))]
     pick = {r["doc_id"]: r["toxic"] for rows in some for r in rows}
     if not pick:
-        return [], [], share
-    spark = docs.sparkSession
-    ids = spark.createDataFrame([(i,) for i in pick], "doc_id long")
-    rows = docs.where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
-    return [r["text"] for r in rows], [pick[r["doc_id"]] for r in rows], share
+        return None, share
+    ids = docs.sparkSession.createDataFrame(list(pick.items()), "doc_id long, toxic int")
+    return docs.where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")), share
 
 
 def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True)) -> DataFrame:
     """A row for each row of docs: doc_id, th, score (0 to 1), best string: the worst segment (null if none is near a
     mark). learn: which doc_ids' labels may be learned from."""
     d = keyed(docs)
-    machine = fit(*_training(d, labels, learn))
-    release()
+    machine = fitted(d, labels, learn)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Scorer(machine)
@@ -424,8 +439,7 @@ def score(docs: DataFrame, labels: DataFrame, learn=lambda doc_id: F.lit(True))
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of docs, with all their columns, that score under `least`; all rows where no machine can be fitted."""
-    machine = fit(*_training(keyed(docs), labels, lambda doc_id: F.lit(True)))
-    release()
+    machine = fitted(keyed(docs), labels, lambda doc_id: F.lit(True))
     if not machine.names:
         return docs
 
