@@ -71,6 +71,26 @@ def test_packing_of_added_tokens(spark, tokenizer):
     check_packing(rows, packing.pack_documents(frame(spark, rows)).collect(), tokenizer)
 
 
+def test_a_text_is_encoded_in_one_call(tokenizer, monkeypatch):
+    """Words that were never seen cost no call each; that took most of the time of packing."""
+    import tiktoken
+
+    calls = Counter()
+    for name in ("encode_ordinary", "encode_to_numpy"):
+        def counted(self, *a, _name=name, _real=getattr(tiktoken.Encoding, name), **k):
+            calls[_name] += 1
+            return _real(self, *a, **k)
+
+        monkeypatch.setattr(tiktoken.Encoding, name, counted)
+    ids = packing.encoder("byte_bpe_50k.json")
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("aeinrstßé'1.-\n") for _ in range(rnd.randint(1, 12)))
+    for text in [" ".join(word() for _ in range(n)) for n in (1, 3, 50, 2000)] + ["a  b \t c\u3000\u2003 d \x1c " * 400]:
+        calls.clear()
+        assert np.frombuffer(ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert calls.total() == 1, calls
+
+
 def test_token_counts_of_added_tokens(tokenizer):
     rnd = random.Random(4)
     count = tokencounts.Counter("byte_bpe_50k.json")

@@ -28,8 +28,8 @@ from .common import cut, frugal, keyed, load
 
 #: Pieces that one task packs, about. More only saves the last, underfull sequence of a group.
 GROUP_PIECES = 20_000
-#: Different words whose ids a Python worker keeps.
-WORDS_KEPT = 150_000
+#: Characters of a text from which on an array is quicker to get than a list. Both hold the same ids.
+SHORT_TEXT = 64
 #: How far the local search looks: places of one size that it tries, second documents of a pair, rounds over the bins, and
 #: steps from one bin for each of its documents. They bound its time; a step that it doesn't see may cost a sequence, none
 #: in the tests' instances. Pieces are never dropped.
@@ -39,9 +39,8 @@ PLACES, SECONDS, ROUNDS, STEPS = 8, 8, 8, 12
 class FastIds:
     """The ids of a byte-level BPE as little-endian unsigned 32-bit bytes.
 
-    Its pre-tokens never cross a single space between other characters, so ids are kept for each word with the
-    space before it. A text with doubled spaces, or white space next to a space, is encoded whole. Added tokens (text
-    without white space to id) are looked for first; what is between them is encoded apart.
+    Texts are encoded whole, straight into an array: where many words are new, to split them off and keep their ids takes
+    longer. Added tokens (text without white space to id) are looked for first; what is between them is encoded apart.
     """
 
     def __init__(self, ranks_path: str, pattern: str, added: dict[str, int]):
@@ -49,29 +48,18 @@ class FastIds:
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self._encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._kept: dict[str, bytes] = {}
+        # told of added tokens, though it never sees one: without any, it searches for the empty string at each place
+        self._own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
         self._added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
         # of two that begin at one place, the longer
         self._marks = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
-    def _whole(self, text: str) -> bytes:
-        if self._marks and self._marks.search(text):
-            return b"".join(self._added[t] if i % 2 else self._whole(t) for i, t in enumerate(self._marks.split(text)))
-        return np.array(self._encode(text), "<u4").tobytes()
-
     def __call__(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if any(not w or w[0].isspace() or w[-1].isspace() for w in rest) or first[-1:].isspace() or (not first and rest):
-            return self._whole(text)
-        kept = self._kept
-        new = set(rest).difference(kept)
-        if len(kept) + len(new) > WORDS_KEPT:
-            kept.clear()
-            new = set(rest)
-        for w in new:
-            kept[w] = self._whole(" " + w)
-        return self._whole(first) + b"".join(map(kept.__getitem__, rest))
+        if self._marks and self._marks.search(text):
+            return b"".join(self._added[t] if i % 2 else self(t) for i, t in enumerate(self._marks.split(text)))
+        if len(text) < SHORT_TEXT:
+            return np.array(self._own.encode_ordinary(text), "<u4").tobytes()
+        return self._own.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
 def encoder(tokenizer: str) -> FastIds:

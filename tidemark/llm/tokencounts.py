@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import frugal, keyed, load
-from .packing import WORDS_KEPT, encoder
+from .packing import encoder
 
 #: Parts of a leaf.
 LEAF = 24
+#: Different parts whose counts a Python worker keeps.
+WORDS_KEPT = 150_000
 _PART = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -33,7 +35,7 @@ class Counter:
     """Tokens of parts; frequent parts are kept."""
 
     def __init__(self, tokenizer: str):
-        self._ids = encoder(tokenizer)._whole
+        self._ids = encoder(tokenizer)
         self._kept: dict[str, int] = {}
 
     def parts(self, parts: list[str]) -> list[int]:
