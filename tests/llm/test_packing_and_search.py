@@ -91,6 +91,16 @@ def test_a_text_is_encoded_in_one_call(tokenizer, monkeypatch):
         assert calls.total() == 1, calls
 
 
+def test_a_million_characters_of_white_space(spark, tokenizer):
+    many, long = 1_000_100, 100_000
+    texts = ["a" + " " * many + "b", "\n" * many, "x " + " \n" * (many // 2) + "<|endoftext|> y", " " * many + "\u3000" * long + "\x1c" + "\t" * long + "'s",
+             "a" + " " * long + "b" + "\n" * (long + 1) + "c" + " " * (long - 1) + "d" + "\x1d" * long]
+    rows = list(enumerate(texts))
+    check_packing(rows, packing.pack_documents(frame(spark, rows)).collect(), tokenizer)
+    count = tokencounts.Counter("byte_bpe_50k.json")
+    assert [count.text(t) for t in texts] == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_token_counts_of_added_tokens(tokenizer):
     rnd = random.Random(4)
     count = tokencounts.Counter("byte_bpe_50k.json")
